@@ -61,8 +61,8 @@ def to_number(col: Column) -> Column:
 
 
 def text_or_nan(col: Column) -> Column:
-    """Text of a value, with missing values as the token ``nan``."""
-    return F.coalesce(col.cast("string"), F.lit("nan"))
+    """Text of a value, with missing values (null or NaN) as the token ``nan``."""
+    return F.coalesce(F.nullif(col.cast("string"), F.lit("NaN")), F.lit("nan"))
 
 
 def per_hundred(part: Column, whole: Column) -> Column:
@@ -86,10 +86,10 @@ def binary_map(col: Column, low: Iterable[int], high: Iterable[int], unknown: in
 
 
 def remap_level(col: Column, source: int, target: int) -> Column:
-    """Move one (rounded) level onto another and keep the rest, missing included."""
+    """Move one (rounded) level onto another and keep the rest; missing stays missing."""
     value = col.cast("double")
     hit = F.rint(value) == float(source)
-    return F.when(hit, float(target)).otherwise(value).cast("float")
+    return F.when(hit, float(target)).when(~F.isnan(value), value).cast("float")
 
 
 def one_hot(col: Column, name: str, categories: Sequence[str]) -> list[Column]:
