@@ -77,10 +77,10 @@ def load_plan(
 
 def load_reduction(catalog: DataFrame, plan: DataFrame) -> DataFrame:
     """One row: columns in the file, to load, skipped, and the reduction in percent."""
-    total = catalog.agg(F.count(F.lit(1)).alias("total"))
-    loaded = plan.agg(F.count(F.lit(1)).alias("loaded"))
+    loaded = plan.agg(F.count(F.lit(1))).scalar()
+    counts = catalog.agg(F.count(F.lit(1)).alias("total")).withColumn("loaded", loaded)
     skipped = F.col("total") - F.col("loaded")
-    return total.crossJoin(F.broadcast(loaded)).select(  # one row each
+    return counts.select(
         "total",
         "loaded",
         skipped.alias("skipped"),

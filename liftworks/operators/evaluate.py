@@ -248,15 +248,12 @@ def lorenz(
 ) -> DataFrame:
     """Curve points ``(position, population_share, actual_share)``, the origin at position 0."""
     ranked = _ranked(df, actual, pred, key, rows_per_range)
-    totals = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(actual).cast("double").alias("total")
-    )
-    points = ranked.crossJoin(F.broadcast(totals)).select(  # one row of totals
+    n = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    total = df.agg(F.sum(actual).cast("double")).scalar()
+    points = ranked.select(
         F.col("rank").alias("position"),
-        F.try_divide(F.col("rank").cast("double"), F.col("n").cast("double")).alias(
-            "population_share"
-        ),
-        F.try_divide(F.col("running").cast("double"), F.col("total")).alias("actual_share"),
+        F.try_divide(F.col("rank").cast("double"), n).alias("population_share"),
+        F.try_divide(F.col("running").cast("double"), total).alias("actual_share"),
     )
     origin = df.sparkSession.createDataFrame([(0, 0.0, 0.0)], points.schema)
     return points.unionByName(origin)

@@ -78,15 +78,19 @@ class Ranges:
 
 
 def split_ranges(
-    df: DataFrame, order: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    order: Sequence[str],
+    rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
 ) -> Ranges:
-    """Choose cut points so that ranges hold about ``rows_per_range`` rows.
+    """Choose cut points so that ranges hold about ``rows_per_range`` of the ``rows``.
 
     The sample is one row per hash slot - the one with the smallest hash - which is an even
     sample whatever the number of rows, and merges map-side.
     """
     schema = T.StructType([df.schema[c] for c in order])
-    wanted = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    rows = df.count() if rows is None else rows
+    wanted = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if wanted <= 1:
         return Ranges(tuple(order), (), schema)
     slots = wanted * _SAMPLES_PER_RANGE
@@ -197,58 +201,70 @@ def crossings(
     ``rule`` must not decrease along the order, so weights must not be negative.
     """
     df = df.select(*order, weight.alias("__w"))
-    ranges = split_ranges(df, order, rows_per_range)
-    placed = ranges.assign(df)
-    sums = placed.groupBy(_RANGE).agg(F.sum("__w").alias("w"), F.min("__w").alias("least"))
-    everything = Window.partitionBy()  # over one row per range
-    before = everything.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        _RANGE,
-        "least",
-        F.coalesce(F.sum("w").over(before), F.lit(0).cast(sums.schema["w"].dataType)).alias("start"),
-        F.sum("w").over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("end"),
-        F.sum("w").over(everything).alias("total"),
-    )
-    steps = sums.select(
-        "*", rule(F.col("start"), F.col("total")).alias("at_start"),
-        rule(F.col("end"), F.col("total")).alias("at_end"),
-    ).collect()  # at most MAX_RANGES rows
-    if not steps or steps[0]["total"] is None or steps[0]["total"] <= 0:
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("__w").alias("total"), F.min("__w").alias("least")
+    ).first()
+    if seen["total"] is None or seen["total"] <= 0:
         raise ValueError("sum of weights must be > 0")
-    if any(s["least"] is not None and s["least"] < 0 for s in steps):
+    if seen["least"] < 0:
         raise ValueError("weights must be >= 0")
-    base = min(s["at_start"] for s in steps)
-    stepping = {s[_RANGE]: s["start"] for s in steps if s["at_end"] != s["at_start"]}
-    if not stepping:
-        return Crossings(base, (), ranges.schema)
-
-    start_type, total = sums.schema["start"].dataType, steps[0]["total"]
-    starts = df.sparkSession.createDataFrame(
-        list(stepping.items()),
-        T.StructType([T.StructField(_RANGE, T.IntegerType()), T.StructField("start", start_type)]),
-    )
-    within = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.lit(seen["total"])
+
+    def level(running: Column) -> Column:
+        return rule(running, total)
+
+    ranges = split_ranges(df, order, rows_per_range, seen["rows"])
+    placed = ranges.assign(df)
+    if ranges.count > 1:
+        placed = _stepping_rows(placed, level)
+    else:
+        placed = placed.withColumn("start", F.lit(0))
+    upto = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = (
-        placed.filter(F.col(_RANGE).isin(*stepping))
-        .join(F.broadcast(starts), _RANGE)
-        .select(
+        placed.select(
             F.struct(*order).alias("row"),
-            rule(F.col("start") + F.sum("__w").over(within), F.lit(total)).alias("level"),
+            level(F.col("start") + F.sum("__w").over(upto)).alias("level"),
         )
         .groupBy("level")
-        .agg(F.min("row").alias("row"))
-        .filter(F.col("level") > base)
+        .agg(F.min("row").alias("row"), F.first(level(F.lit(0))).alias("base"))
         .orderBy("level")
-        .collect()  # at most one row per level
+        .collect()  # one row per level
+    )
+    base = found[0]["base"]
+    first = tuple((f["level"], f["row"]) for f in found if f["level"] > base)
+    return Crossings(base, first, ranges.schema)
+
+
+def _stepping_rows(placed: DataFrame, level: Callable[[Column], Column]) -> DataFrame:
+    """Rows of the ranges in which the level steps, with the running total before their range."""
+    sums = placed.groupBy(_RANGE).agg(F.sum("__w").alias("w"))
+    before = Window.partitionBy().orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    nothing = F.lit(0).cast(sums.schema["w"].dataType)
+    sums = sums.select(  # one row per range
+        _RANGE,
+        F.coalesce(F.sum("w").over(before), nothing).alias("start"),
+        F.sum("w").over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("end"),
+    )
+    steps = sums.withColumns(
+        {"at_start": level(F.col("start")), "at_end": level(F.col("end"))}
+    ).collect()  # at most MAX_RANGES rows
+    # the first range with rows always counts, so that the base level is seen
+    head = min(s[_RANGE] for s in steps)
+    kept = [s for s in steps if s["at_end"] != s["at_start"] or s[_RANGE] == head]
+    starts = placed.sparkSession.createDataFrame(
+        [(s[_RANGE], s["start"]) for s in kept],
+        T.StructType([T.StructField(_RANGE, T.IntegerType()), sums.schema["start"]]),
+    )
+    return placed.filter(F.col(_RANGE).isin(*[s[_RANGE] for s in kept])).join(
+        F.broadcast(starts), _RANGE
     )
-    return Crossings(base, tuple((f["level"], f["row"]) for f in found), ranges.schema)
 
 
 def ceil_rule(bins: int) -> Callable[[Column, Column], Column]:
     """Bucket of a running weight: its share times ``bins``, rounded up, within 1..bins."""
 
     def rule(running: Column, total: Column) -> Column:
-        share = running.cast("double") / total.cast("double")
+        share = F.try_divide(running.cast("double"), total.cast("double"))
         return F.greatest(F.lit(1), F.least(F.lit(bins), F.ceil(share * bins).cast("int")))
 
     return rule
@@ -258,7 +274,8 @@ def floor_rule(bins: int) -> Callable[[Column, Column], Column]:
     """Older bucket rule: share rounded to two digits, times ``bins``, rounded down, plus one."""
 
     def rule(running: Column, total: Column) -> Column:
-        share = F.rint(running.cast("double") / total.cast("double") * 100.0) / 100.0
+        share = F.try_divide(running.cast("double"), total.cast("double"))
+        share = F.rint(share * 100.0) / 100.0
         return F.least(F.lit(bins), F.floor(share * bins).cast("int") + 1)
 
     return rule
@@ -299,8 +316,8 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("n")),
         "value_counts",
     )
-    n = counts.agg(F.sum("n")).first()[0] or 0
-    if n == 0:
+    n = counts.agg(F.sum("n")).first()[0]
+    if not n:
         return [math.nan] * len(probabilities)
     spots = [(n - 1) * p for p in probabilities]
     ranks = sorted({r + 1 for s in spots for r in (math.floor(s), math.ceil(s))})
@@ -308,7 +325,7 @@ def quantiles(
     def rule(running: Column, total: Column) -> Column:
         reached = F.lit(0)
         for rank in ranks:
-            reached = reached + F.when(running >= rank, 1).otherwise(0)
+            reached = reached + (running >= rank).cast("int")
         return reached
 
     found = crossings(counts, ["v"], F.col("n"), rule, rows_per_range)

@@ -1,7 +1,7 @@
 """The shared test tables seen as policy data.
 
-Grain and key of every view are stated below; all are lazy. Money is summed as DECIMAL, so sums do
-not depend on the order of rows.
+Grain and key of every view are stated below; all are lazy. Losses are summed as whole units of
+1/10000, so sums are exact, do not depend on the order of rows, and stay in plain longs.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ def _money(name: str):
     return F.col(name).cast("decimal(18,2)")
 
 
+def _hundredths(name: str):
+    return F.rint(F.col(name) * 100).cast("bigint")
+
+
 def aux(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order grain, key ``vin_date``: fold, target and depreciation factor."""
     return table(spark, sf_dir, "orders").select(
@@ -53,7 +57,12 @@ def policy(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(
             F.sum("l_quantity").cast("bigint").alias("exposure"),
-            F.sum(_money("l_extendedprice") * _money("l_discount"))
+            F.sum(_hundredths("l_extendedprice") * _hundredths("l_discount")).alias("loss_units"),
+        )
+        .select(
+            "l_orderkey",
+            "exposure",
+            (F.col("loss_units") * F.lit("0.0001").cast("decimal(4,4)"))
             .cast("decimal(24,4)")
             .alias("incurred_act"),
         )

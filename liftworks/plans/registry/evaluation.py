@@ -199,9 +199,9 @@ FROM d""",
 def lift_2025(spark, sf_dir):
     df = _policy(spark, sf_dir, columns=_FACTS)
     table = ev.lift(df, "exposure", "o_orderkey", variant="legacy_pct")
-    rows = ev.gini(df, "incurred_act", "pred", ["o_orderkey"]).select(F.col("gini").alias("gini_rows"))
-    bins = ev.gini(table, "act", "pred", ["decile"]).select(F.col("gini").alias("gini_deciles"))
-    return tidy(table.crossJoin(F.broadcast(rows)).crossJoin(F.broadcast(bins)))  # one row each
+    rows = ev.gini(df, "incurred_act", "pred", ["o_orderkey"]).select("gini").scalar()
+    bins = ev.gini(table, "act", "pred", ["decile"]).select("gini").scalar()
+    return tidy(table.withColumns({"gini_rows": rows, "gini_deciles": bins}))
 
 
 @query(

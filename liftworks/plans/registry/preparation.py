@@ -105,7 +105,8 @@ def load_reduction(spark, sf_dir):
     seen = loaded.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("disc_n").cast("decimal(18,2)")).alias("disc_n")
     )
-    return tidy(cat.load_reduction(catalog, plan).crossJoin(F.broadcast(seen)))  # one row each
+    out = cat.load_reduction(catalog, plan)
+    return tidy(out.withColumns({c: seen.select(c).scalar() for c in seen.columns}))
 
 
 @query(

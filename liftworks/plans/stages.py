@@ -123,10 +123,12 @@ def analyse(spark: SparkSession, cfg: Config) -> int:
     features = list(model.features)
     contrib = _read(spark, cfg, "results/06_contrib_test")
     test = _read(spark, cfg, "data/04_test")
-    totals = ex.contrib_aggregate(contrib, features, "weight")
-    write_parquet(totals.coalesce(1), _at(cfg, "results/07_aggregate"))
-    totals = _read(spark, cfg, "results/07_aggregate")
-    top = [r["field"] for r in ex.top_features(totals, "total_shap", cfg.top_features).collect()]
+    totals = ex.contrib_totals(contrib, features, "weight").coalesce(1)
+    write_parquet(totals, _at(cfg, "results/07_totals"))
+    totals = _read(spark, cfg, "results/07_totals")
+    shares = ex.with_shares(totals)
+    write_csv(shares.orderBy(F.desc("total_shap"), "field"), _at(cfg, "results/07_aggregate"))
+    top = [r["field"] for r in ex.top_features(shares, "total_shap", cfg.top_features).collect()]
     if top:
         long = ex.long_contributions(contrib, test, top, cfg.key, "weight")
         write_parquet(ex.contrib_range(long), _at(cfg, "results/07_ranges"))
