@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from liftworks.operators.ordered import ROWS_PER_RANGE, smallest
+
 # Spellings under which the join key is looked for, after the configured one.
 KEY_ALIASES = ("VIN_Date", "vindate", "vin_date", "VINDATE")
 
@@ -78,9 +80,11 @@ def split_by_fold(
 # --- samples ----------------------------------------------------------------------------------
 
 
-def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+def first_rows(
+    df: DataFrame, key: str, n: int, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """The ``n`` rows of smallest key."""
-    return df.orderBy(key).limit(n)
+    return smallest(df, [key], n, rows_per_range)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -89,9 +93,12 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> Dat
     return df.filter(slot < int(fraction * 10_000))
 
 
-def fixed_sample(df: DataFrame, key: str, n: int = 10_000, seed: int = 42) -> DataFrame:
+def fixed_sample(
+    df: DataFrame, key: str, n: int = 10_000, seed: int = 42, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """``n`` rows (all, if fewer) in an order that depends on key and seed only."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    drawn = df.withColumn("__draw", F.xxhash64(F.lit(seed), F.col(key)))
+    return smallest(drawn, ["__draw", key], n, rows_per_range).drop("__draw")
 
 
 # --- loading for a fit ------------------------------------------------------------------------

@@ -262,9 +262,9 @@ def lorenz(
 # --- residuals and errors ---------------------------------------------------------------------
 
 
-def residual_table(
+def residual_tables(
     df: DataFrame,
-    feature: str,
+    features: Sequence[str],
     weight: str,
     digits: int = 2,
     max_levels: int = 50,
@@ -273,42 +273,60 @@ def residual_table(
 ) -> DataFrame:
     """Actual and predicted level per feature level, or per quantile bin of the level table.
 
-    Bins apply when there are more than ``max_levels`` distinct raw levels: ``q`` quantiles over
+    Bins apply when a feature has more than ``max_levels`` distinct raw levels: ``q`` quantiles over
     the rounded levels, right-closed, equal edges merged. ``lo`` and ``hi`` bound the levels of a
-    row; without bins both are the level.
+    row; without bins both are the level. The rows are read once for all features; binning works
+    on the level table.
     """
     facts = list(dict.fromkeys([weight, "incurred_act", "incurred_pred", "denom"]))
-    col = missing_to_null(F.col(feature), df.schema[feature].dataType)
+    pairs = [
+        F.struct(
+            F.lit(c).alias("field"),
+            missing_to_null(F.col(c), df.schema[c].dataType).cast("double").alias("raw"),
+        )
+        for c in features
+    ]
     levels = stage(
-        df.filter(col.isNotNull())
-        .groupBy(col.alias("raw"))
+        df.select(F.inline(F.array(*pairs)), *facts)
+        .filter(F.col("raw").isNotNull())
+        .groupBy("field", "raw")
         .agg(*[F.sum(f).alias(f) for f in facts])
-        .select(round_digits(F.col("raw"), digits).alias("level"), *facts),
+        .select("field", round_digits(F.col("raw"), digits).alias("level"), *facts),
         "levels",
     )
-    if levels.count() <= max_levels:
-        binned = levels.select(F.col("level").alias("lo"), F.col("level").alias("hi"), *facts)
-    else:
-        edges = sorted(
-            set(quantiles(levels, "level", _even_probabilities(q), rows_per_range))
-        )
-        bin_id = F.lit(1)
+    sizes = levels.groupBy("field").count().collect()  # one row per feature
+    bin_id = F.lit(None).cast("int")
+    for field in sorted(r["field"] for r in sizes if r["count"] > max_levels):
+        of_field = levels.filter(F.col("field") == field)
+        edges = sorted(set(quantiles(of_field, "level", _even_probabilities(q), rows_per_range)))
+        place = F.lit(1)
         for i, edge in enumerate(edges[1:-1], 1):
-            bin_id = F.when(F.col("level") > edge, i + 1).otherwise(bin_id)
-        binned = (
-            levels.groupBy(bin_id.alias("bin"))
-            .agg(
-                F.min("level").alias("lo"),
-                F.max("level").alias("hi"),
-                *[F.sum(f).alias(f) for f in facts],
-            )
-            .drop("bin")
+            place = F.when(F.col("level") > edge, i + 1).otherwise(place)
+        bin_id = F.when(F.col("field") == field, place).otherwise(bin_id)
+    placed = levels.withColumn("bin", bin_id)
+    single = placed.filter(F.col("bin").isNull()).select(
+        "field", F.col("level").alias("lo"), F.col("level").alias("hi"), *facts
+    )
+    binned = (
+        placed.filter(F.col("bin").isNotNull())
+        .groupBy("field", "bin")
+        .agg(
+            F.min("level").alias("lo"),
+            F.max("level").alias("hi"),
+            *[F.sum(f).alias(f) for f in facts],
         )
-    return binned.withColumns(
+        .drop("bin")
+    )
+    return single.unionByName(binned).withColumns(
         {"act": _ratio("incurred_act", "denom"), "pred": _ratio("incurred_pred", "denom")}
     )
 
 
+def residual_table(df: DataFrame, feature: str, weight: str, **options) -> DataFrame:
+    """``residual_tables`` of one feature."""
+    return residual_tables(df, [feature], weight, **options).drop("field")
+
+
 def _even_probabilities(q: int) -> list[float]:
     step = 1.0 / q
     return [i * step for i in range(q)] + [1.0]

@@ -210,6 +210,38 @@ def contrib_weight_dist(
     return sums.withColumn("val", round_digits(F.col("val"), 4))
 
 
+def _with_used_share(values: DataFrame) -> DataFrame:
+    """Cumulative weight share of the used contributions of a level; null where not used."""
+    group = Window.partitionBy(*_LEVEL)
+    upto = group.orderBy("shap").rowsBetween(Window.unboundedPreceding, 0)
+    used_weight = F.when(F.col("shap") != 0, F.col("weight"))
+    running, total = F.sum(used_weight).over(upto), F.sum(used_weight).over(group)
+    share = F.try_divide(running.cast("double"), total.cast("double"))
+    return values.withColumn("share", F.when(F.col("shap") != 0, share))
+
+
+def _percentile(p: int, digits: int) -> tuple[list[Column], Column]:
+    """Aggregates that keep the nearest shares around a target, and the result from them."""
+    gap = F.col("share") - F.lit(p / 100)
+    near = F.struct(gap.alias("gap"), (-F.col("shap")).alias("minus"))
+    kept = [
+        F.max(F.when(gap < 0, near)).alias(f"below_{p}"),
+        F.min(F.when(gap == 0, F.col("shap"))).alias(f"at_low_{p}"),
+        F.max(F.when(gap == 0, F.col("shap"))).alias(f"at_high_{p}"),
+        F.min(F.when(gap > 0, near)).alias(f"above_{p}"),
+    ]
+    below, above = F.col(f"below_{p}"), F.col(f"above_{p}")
+    at_gap = F.when(F.col(f"at_low_{p}").isNotNull(), F.lit(0.0))
+    least = F.coalesce(below["gap"], at_gap, above["gap"])
+    most = F.coalesce(above["gap"], at_gap, below["gap"])
+    low = F.coalesce(-below["minus"], F.col(f"at_low_{p}"), -above["minus"])
+    high = F.coalesce(-above["minus"], F.col(f"at_high_{p}"), -below["minus"])
+    space = most - least
+    mixed = F.try_divide(-least, space) * low + F.try_divide(most, space) * high
+    value = F.when((space == 0) & (most > 0), high).otherwise(round_digits(mixed, digits))
+    return kept, value.alias(f"shap_p{p}")
+
+
 def contrib_percentiles(
     values: DataFrame, percentiles: Sequence[int] = (0, 5, 95, 100), digits: int = 5
 ) -> DataFrame:
@@ -220,33 +252,10 @@ def contrib_percentiles(
     share; with no lower share it is the contribution itself. For the 100th percentile this is the
     second largest contribution, and missing for a single level.
     """
-    group = Window.partitionBy(*_LEVEL)
-    upto = group.orderBy("shap").rowsBetween(Window.unboundedPreceding, 0)
-    used = values.filter(F.col("shap") != 0)
-    share = F.sum("weight").over(upto).cast("double") / F.sum("weight").over(group).cast("double")
-    shares = used.withColumn("share", share)
-
-    kept, results = [], []
-    for p in percentiles:
-        gap = F.col("share") - F.lit(p / 100)
-        near = F.struct(gap.alias("gap"), (-F.col("shap")).alias("minus"))
-        kept += [
-            F.max(F.when(gap < 0, near)).alias(f"below_{p}"),
-            F.min(F.when(gap == 0, F.col("shap"))).alias(f"at_low_{p}"),
-            F.max(F.when(gap == 0, F.col("shap"))).alias(f"at_high_{p}"),
-            F.min(F.when(gap > 0, near)).alias(f"above_{p}"),
-        ]
-        at_gap = F.when(F.col(f"at_low_{p}").isNotNull(), F.lit(0.0))
-        least = F.coalesce(F.col(f"below_{p}.gap"), at_gap, F.col(f"above_{p}.gap"))
-        most = F.coalesce(F.col(f"above_{p}.gap"), at_gap, F.col(f"below_{p}.gap"))
-        low = F.coalesce(-F.col(f"below_{p}.minus"), F.col(f"at_low_{p}"), -F.col(f"above_{p}.minus"))
-        high = F.coalesce(-F.col(f"above_{p}.minus"), F.col(f"at_high_{p}"), -F.col(f"below_{p}.minus"))
-        space = most - least
-        mixed = F.try_divide(-least, space) * low + F.try_divide(most, space) * high
-        results.append(
-            F.when((space == 0) & (most > 0), high).otherwise(round_digits(mixed, digits)).alias(f"shap_p{p}")
-        )
-    return shares.groupBy(*_LEVEL).agg(*kept).select(*_LEVEL, *results)
+    parts = [_percentile(p, digits) for p in percentiles]
+    used = _with_used_share(values.filter(F.col("shap") != 0))
+    kept = used.groupBy(*_LEVEL).agg(*[k for keep, _ in parts for k in keep])
+    return kept.select(*_LEVEL, *[value for _, value in parts])
 
 
 def contrib_summary(
@@ -254,37 +263,40 @@ def contrib_summary(
 ) -> DataFrame:
     """Per field and value: share of the field's weight, used share, percentiles and mean.
 
-    Values whose contributions are all zero drop out.
+    Values whose contributions are all zero drop out. Window and sums share one shuffle.
     """
     used = F.col("shap") != 0
-    sums = values.groupBy(*_LEVEL).agg(
-        F.sum("weight").alias("weight"),
-        F.sum(F.when(used, F.col("weight"))).alias("weight_used"),
-        F.sum(F.when(used, F.col("shap") * F.col("weight"))).alias("sp"),
+    parts = [_percentile(p, digits) for p in percentiles]
+    sums = (
+        _with_used_share(values)
+        .groupBy(*_LEVEL)
+        .agg(
+            F.sum("weight").alias("weight"),
+            F.sum(F.when(used, F.col("weight"))).alias("weight_used"),
+            F.sum(F.when(used, F.col("shap") * F.col("weight"))).alias("sp"),
+            *[k for keep, _ in parts for k in keep],
+        )
+        .filter(F.col("weight_used").isNotNull())
     )
     totals = values.groupBy("field").agg(F.sum("weight").alias("field_weight"))
-    shares = (
-        sums.filter(F.col("weight_used").isNotNull())
-        .join(F.broadcast(totals), "field")  # one row per feature
-        .select(
-            *_LEVEL,
-            F.try_divide(F.col("weight").cast("double"), F.col("field_weight").cast("double")).alias(
-                "pct_weight"
-            ),
-            F.try_divide(F.col("weight_used").cast("double"), F.col("weight").cast("double")).alias(
-                "pct_used"
-            ),
-            F.try_divide(F.col("sp"), F.col("weight_used").cast("double")).alias("shap_mean"),
-        )
+
+    def share(part: str, whole: str) -> Column:
+        return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+
+    return sums.join(F.broadcast(totals), "field").select(  # one row per feature
+        *_LEVEL,
+        share("weight", "field_weight").alias("pct_weight"),
+        share("weight_used", "weight").alias("pct_used"),
+        share("sp", "weight_used").alias("shap_mean"),
+        *[value for _, value in parts],
     )
-    return shares.join(contrib_percentiles(values, percentiles, digits), list(_LEVEL))
 
 
 def contrib_summary_all(
     values: DataFrame, mono: DataFrame | None = None, excluded: DataFrame | None = None, digits: int = 5
 ) -> DataFrame:
     """Summary of all fields with their total effect and monotone direction, largest effect first."""
-    table = contrib_summary(values, digits=digits)
+    table = stage(contrib_summary(values, digits=digits), "summary")  # read twice
     effect = F.abs(F.col("pct_weight") * F.col("pct_used") * F.col("shap_mean"))
     fields = table.groupBy("field").agg(
         F.sum(effect).alias("field_tot_wtd_shap_abs"), F.max("pct_used").alias("most_used")

@@ -170,7 +170,7 @@ def fit_glm(
     ridge: float = 0.0,
 ) -> LinearModel:
     """Tweedie GLM with log link; ``offset`` is a factor on the rate."""
-    rows = stage(_training(df, features, label, weight, offset), "training")
+    rows = stage(_training(df, features, label, weight, offset), "training", spread=True)
     vectors = VectorAssembler(inputCols=list(features), outputCol=_FEATURES).transform(rows)
     fitted = GeneralizedLinearRegression(
         family="tweedie", variancePower=power, linkPower=0.0, featuresCol=_FEATURES, labelCol=_LABEL,
@@ -223,19 +223,23 @@ def fit_boosted(
         raise ValueError("subsampling needs a row key")
     features = list(features)
     rows = stage(
-        _training(df, features, label, weight, offset, key if subsample < 1.0 else None), "training"
+        _training(df, features, label, weight, offset, key if subsample < 1.0 else None),
+        "training",
+        spread=True,
     )
     sums = rows.agg(
-        F.sum(F.col(_WEIGHT) * F.col(_LABEL)), F.sum(F.col(_WEIGHT) * F.exp(_OFFSET)), F.sum(_WEIGHT)
+        F.sum(F.col(_WEIGHT) * F.col(_LABEL)), F.sum(F.col(_WEIGHT) * F.exp(_OFFSET))
     ).first()
     if not sums[0] or sums[0] <= 0:
         raise ValueError("the weighted label must have a positive sum")
-    start, rows_weight = math.log(sums[0] / sums[1]), sums[2]
+    start = math.log(sums[0] / sums[1])
     current = rows.withColumn(_MARGIN, F.col(_OFFSET) + F.lit(start))
+    _, first_h = tweedie_gradients(F.col(_MARGIN), F.col(_LABEL), F.col(_WEIGHT), power)
+    all_h = current.agg(F.sum(first_h)).first()[0] if min_child_weight else 0.0
     fitted: list[trees.Tree] = []
     for i in range(rounds):
         if i and i % stage_every == 0:
-            current = stage(current, "margins")
+            current = stage(current, "margins", spread=True)
         g, h = tweedie_gradients(F.col(_MARGIN), F.col(_LABEL), F.col(_WEIGHT), power)
         graded = current.withColumns({"__g": g, "__h": h}).filter(F.col("__h") > 0)
         if subsample < 1.0:
@@ -247,13 +251,15 @@ def fit_boosted(
             DecisionTreeRegressor(
                 featuresCol=_FEATURES, labelCol="__step", weightCol="__h", maxDepth=max_depth,
                 maxBins=max_bins, seed=seed + i, cacheNodeIds=False,
-                minWeightFractionPerNode=min(0.49, min_child_weight / rows_weight),
+                minWeightFractionPerNode=min(0.49, min_child_weight / all_h) if all_h else 0.0,
             ).fit(vectors.select(_FEATURES, "__step", "__h"))
         )
         leaf = tree.leaf_column(used)
         totals = graded.groupBy(leaf.alias("leaf")).agg(
             F.sum("__g").alias("g"), F.sum("__h").alias("h")
         ).collect()  # one row per leaf
+        if min_child_weight:
+            all_h = sum(t["h"] for t in totals)  # the next round's, nearly
         values = {t["leaf"]: learning_rate * _newton_step(t["g"], t["h"], alpha, ridge) for t in totals}
         tree = tree.with_leaves(values, {t["leaf"]: t["h"] for t in totals})
         tree = _renumber(tree, [features.index(c) for c in used])

@@ -295,6 +295,27 @@ def weighted_buckets(
     ).level()
 
 
+# --- smallest rows ----------------------------------------------------------------------------
+
+
+def smallest(
+    df: DataFrame, order: Sequence[str], n: int, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """The ``n`` first rows along ``order``.
+
+    A plain ``limit`` after ``orderBy`` brings ``n`` rows of every input partition to one task. The
+    first range of a large table holds about twice ``n`` rows, so the rest is filtered out first; if
+    it holds too few, the plain form is right as well.
+    """
+    ranges = split_ranges(df, order, max(2 * n, rows_per_range))
+    rows = df
+    if ranges.count > 1:
+        head = ranges.assign(df).filter(F.col(_RANGE) == 0).drop(_RANGE)
+        if head.count() >= n:
+            rows = head
+    return rows.orderBy(*order).limit(n)
+
+
 # --- order statistics -------------------------------------------------------------------------
 
 

@@ -134,9 +134,9 @@ def analyse(spark: SparkSession, cfg: Config) -> int:
         write_parquet(ex.contrib_range(long), _at(cfg, "results/07_ranges"))
     facts = _read(spark, cfg, "results/05_facts_test").drop(cfg.target)
     facts = facts.join(test.select(cfg.key, *[c for c in top if c not in facts.columns]), cfg.key)
-    for name in top:
-        table = ev.residual_table(facts, name, "weight")
-        write_csv(table.orderBy("lo"), _at(cfg, f"results/07_residual_{name}"))
+    if top:
+        tables = ev.residual_tables(facts, top, "weight")
+        write_csv(tables.orderBy("field", "lo"), _at(cfg, "results/07_residuals"))
     return totals.count()
 
 

@@ -32,9 +32,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/liftworks/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "frame") -> DataFrame:
-    """Write once, read back."""
+def stage(df: DataFrame, label: str = "frame", spread: bool = False) -> DataFrame:
+    """Write once, read back.
+
+    ``spread`` is for rows that many jobs read: if the files give fewer tasks than there are cores
+    (so the table is small), they are written again in as many parts.
+    """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and staged.rdd.getNumPartitions() < cores:
+        return stage(staged.repartition(cores), label)
+    return staged

@@ -111,6 +111,15 @@ def test_residual_bins_match_pandas(spark, size):
     assert [r["incurred_act"] for r in got] == list(want["incurred_act"])
 
 
+def test_residual_tables_read_all_features_at_once(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 3).alias("few"), (F.col("id") * 1.5).alias("many"), F.lit(1).alias("w"), F.lit(1).alias("denom"),
+        F.col("id").alias("incurred_act"), F.lit(2).alias("incurred_pred"),
+    )
+    rows = ev.residual_tables(df, ["few", "many"], "w").groupBy("field").agg(F.count("*").alias("n"), F.sum("w").alias("w"))
+    assert {r["field"]: (r["n"], r["w"]) for r in rows.collect()} == {"few": (3, 300), "many": (20, 300)}
+
+
 def test_weight_column_fallback():
     assert ev.weight_column(["a", "ee"], "a") == "a"
     assert ev.weight_column(["ee", "ee_imps"], "gone") == "ee"

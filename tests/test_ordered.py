@@ -146,3 +146,11 @@ def test_rows_are_never_gathered_in_one_task(spark):
     bucket = o.weighted_buckets(df, ["p", "k"], F.col("w"), 10, rows_per_range=100)
     plan = df.groupBy(bucket.alias("b")).agg(F.sum("w"))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("size", [10_000, 100])
+def test_smallest_rows(spark, size):
+    rows, df = scored(spark)
+    got = [(r["p"], r["k"]) for r in o.smallest(df, ["p", "k"], 40, size).collect()]
+    assert got == sorted((r[1], r[0]) for r in rows)[:40]
+    assert o.smallest(df, ["p", "k"], 5000, size).count() == 3000

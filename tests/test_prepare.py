@@ -122,6 +122,10 @@ def test_samples_do_not_depend_on_partitioning(spark):
         assert a == b
     assert abs(asm.hash_sample(df, "k", 0.2).count() - 1000) < 150
     assert asm.fixed_sample(df, "k", 100).count() == 100
+    small, ranged = (
+        sorted(r["k"] for r in asm.fixed_sample(df, "k", 100, rows_per_range=n).collect()) for n in (10_000, 500)
+    )
+    assert small == ranged
     assert asm.fixed_sample(df, "k", 10_000).count() == 5000
     assert sorted(r["k"] for r in asm.first_rows(df, "k", 3).collect()) == [0, 1, 2]
 
