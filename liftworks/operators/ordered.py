@@ -344,10 +344,8 @@ def quantiles(
     ranks = sorted({r + 1 for s in spots for r in (math.floor(s), math.ceil(s))})
 
     def rule(running: Column, total: Column) -> Column:
-        reached = F.lit(0)
-        for rank in ranks:
-            reached = reached + (running >= rank).cast("int")
-        return reached
+        wanted = F.array(*[F.lit(rank) for rank in ranks])
+        return F.size(F.filter(wanted, lambda rank: rank <= running))
 
     found = crossings(counts, ["v"], F.col("n"), rule, rows_per_range)
     value_at = {rank: found.at(i + 1)["v"] for i, rank in enumerate(ranks)}
