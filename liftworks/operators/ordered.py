@@ -63,8 +63,16 @@ class Ranges:
             ]
         )
 
+    def start_of(self, number: int) -> Column:
+        row = self.bounds[number - 1]
+        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in self.schema])
+
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add the range id: a binary search, one projection per halving of the bounds."""
+        """Add the range id: a binary search, one projection per halving of the bounds.
+
+        Select ranges by a join, not by a filter on the id: a filter would be pushed through the
+        projections and repeat the search once per step.
+        """
         df = df.withColumn(_RANGE, F.lit(0))
         if not self.bounds:
             return df
@@ -85,23 +93,20 @@ def split_ranges(
 ) -> Ranges:
     """Choose cut points so that ranges hold about ``rows_per_range`` of the ``rows``.
 
-    The sample is one row per hash slot - the one with the smallest hash - which is an even
-    sample whatever the number of rows, and merges map-side.
+    The sample is a filter on a hash of the order columns, the same in every run; equal rows count
+    once, so it stays near ``_SAMPLES_PER_RANGE`` rows per range.
     """
     schema = T.StructType([df.schema[c] for c in order])
     rows = df.count() if rows is None else rows
     wanted = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if wanted <= 1:
         return Ranges(tuple(order), (), schema)
-    slots = wanted * _SAMPLES_PER_RANGE
-    sample = (
-        df.select(*order)
-        .withColumn("__slot", F.pmod(F.xxhash64(F.lit(1), *order), F.lit(slots)))
-        .groupBy("__slot")
-        .agg(F.min_by(F.struct(*order), F.xxhash64(F.lit(2), *order)).alias("row"))
-        .select(F.sort_array(F.collect_list("row")).alias("rows"))
-        .first()["rows"]
-    )
+    slots = 1 << 40
+    share = min(1.0, wanted * _SAMPLES_PER_RANGE / rows)
+    drawn = F.pmod(F.xxhash64(*order), F.lit(slots)) < int(share * slots)
+    sample = df.select(*order).filter(drawn).distinct().orderBy(*order).collect()
+    if not sample:
+        return Ranges(tuple(order), (), schema)
     picked = [sample[len(sample) * i // wanted] for i in range(1, wanted)]
     return Ranges(tuple(order), tuple(dict.fromkeys(picked)), schema)
 
@@ -219,20 +224,23 @@ def crossings(
         placed = _stepping_rows(placed, level)
     else:
         placed = placed.withColumn("start", F.lit(0))
-    upto = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(_RANGE).orderBy(*order)
+    upto = F.sum("__w").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.sum("__w").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     found = (
-        placed.select(
+        placed.withColumns({"__upto": upto, "__before": before})
+        .select(
             F.struct(*order).alias("row"),
-            level(F.col("start") + F.sum("__w").over(upto)).alias("level"),
+            level(F.col("start") + F.col("__upto")).alias("level"),
+            level(F.when(F.col("__before").isNull(), F.col("start")).otherwise(
+                F.col("start") + F.col("__before")
+            )).alias("previous"),
         )
-        .groupBy("level")
-        .agg(F.min("row").alias("row"), F.first(level(F.lit(0))).alias("base"))
-        .orderBy("level")
-        .collect()  # one row per level
+        .filter(F.col("level") > F.col("previous"))
+        .collect()  # at most one row per level
     )
-    base = found[0]["base"]
-    first = tuple((f["level"], f["row"]) for f in found if f["level"] > base)
-    return Crossings(base, first, ranges.schema)
+    base = df.sparkSession.range(1).select(level(F.lit(0))).first()[0]
+    return Crossings(base, tuple(sorted((f["level"], f["row"]) for f in found)), ranges.schema)
 
 
 def _stepping_rows(placed: DataFrame, level: Callable[[Column], Column]) -> DataFrame:
@@ -248,16 +256,12 @@ def _stepping_rows(placed: DataFrame, level: Callable[[Column], Column]) -> Data
     steps = sums.withColumns(
         {"at_start": level(F.col("start")), "at_end": level(F.col("end"))}
     ).collect()  # at most MAX_RANGES rows
-    # the first range with rows always counts, so that the base level is seen
-    head = min(s[_RANGE] for s in steps)
-    kept = [s for s in steps if s["at_end"] != s["at_start"] or s[_RANGE] == head]
+    kept = [s for s in steps if s["at_end"] != s["at_start"]]
     starts = placed.sparkSession.createDataFrame(
         [(s[_RANGE], s["start"]) for s in kept],
         T.StructType([T.StructField(_RANGE, T.IntegerType()), sums.schema["start"]]),
     )
-    return placed.filter(F.col(_RANGE).isin(*[s[_RANGE] for s in kept])).join(
-        F.broadcast(starts), _RANGE
-    )
+    return placed.join(F.broadcast(starts), _RANGE)
 
 
 def ceil_rule(bins: int) -> Callable[[Column, Column], Column]:
@@ -310,7 +314,7 @@ def smallest(
     ranges = split_ranges(df, order, max(2 * n, rows_per_range))
     rows = df
     if ranges.count > 1:
-        head = ranges.assign(df).filter(F.col(_RANGE) == 0).drop(_RANGE)
+        head = df.filter(F.struct(*order) < ranges.start_of(1))
         if head.count() >= n:
             rows = head
     return rows.orderBy(*order).limit(n)
