@@ -1,6 +1,6 @@
 """Feature encoding: fit on training rows, apply as one projection.
 
-Fitting profiles all columns in two aggregates: ranges with approximate distinct counts first,
+Fitting profiles all columns in two wide aggregates: ranges with approximate distinct counts first,
 then exact distinct values of the columns that can still pass the guard. What reaches the driver
 is bounded by the guard. Transforming is a single ``select`` without a shuffle; only label codes of
 text columns with many categories are joined, from a table of (category, code) made in Spark.
@@ -71,13 +71,9 @@ def detect_ordinal(
     fields = spark.createDataFrame([(c,) for c in columns], "field string")
     if not likely:
         return fields.withColumn("is_ordinal", F.lit(False))
-    exact = (
-        _long(df, {c: values[c] for c in likely})
-        .filter(F.col("value").isNotNull())
-        .distinct()
-        .groupBy("field")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    # bounded by the approximate counts: sets of about 2 * max_distinct values
+    counts = df.agg(*[F.size(F.collect_set(values[c])).alias(c) for c in likely])
+    exact = counts.unpivot([], likely, "field", "n")
     return fields.join(exact, "field", "left").select(
         "field", F.coalesce(F.col("n") <= max_distinct, F.lit(False)).alias("is_ordinal")
     )
@@ -107,13 +103,10 @@ def fit_categories(
     likely = {n: t for n, t in texts.items() if rough[n] <= 2 * max_unique}
     if not likely:
         return {}
-    # at most about 2 * max_unique rows per column
-    rows = _long(df, likely).distinct().collect()
-    found: dict[str, list[str]] = {n: [] for n in likely}
-    for r in rows:
-        found[r["field"]].append(r["value"])
+    # bounded by the approximate counts: sets of about 2 * max_unique values
+    found = df.agg(*[F.sort_array(F.collect_set(t)).alias(n) for n, t in likely.items()]).first()
     return {
-        n: sorted(c) for n, c in found.items() if len([v for v in c if v != "nan"]) <= max_unique
+        n: found[n] for n in likely if len([v for v in found[n] if v != "nan"]) <= max_unique
     }
 
 

@@ -15,9 +15,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from liftworks.functions import missing_to_null
 from liftworks.operators import trees
 from liftworks.operators.assemble import hash_sample
-from liftworks.operators.condition import fill_missing
 from liftworks.operators.evaluate import residual_table
 from liftworks.sources import stage
 
@@ -42,7 +42,7 @@ class LinearModel:
     def margin(self, df: DataFrame) -> DataFrame:
         out = F.lit(self.intercept)
         for name, c in zip(self.features, self.coefficients):
-            out = out + F.lit(c) * F.col(name).cast("double")
+            out = out + F.lit(c) * _input(df, name)
         if self.offset:
             out = out + F.log(F.col(self.offset).cast("double"))
         return df.withColumn(_MARGIN, out)
@@ -50,7 +50,7 @@ class LinearModel:
     def contributions(self, df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
         """``coefficient * (value - mean)`` per feature; with the base they add up to the margin."""
         parts = [
-            (F.lit(c) * (F.col(n).cast("double") - F.lit(m))).alias(n)
+            (F.lit(c) * (_input(df, n) - F.lit(m))).alias(n)
             for n, c, m in zip(self.features, self.coefficients, self.means)
         ]
         base = self.intercept + sum(c * m for c, m in zip(self.coefficients, self.means))
@@ -68,7 +68,7 @@ class BoostedModel:
 
     def margin(self, df: DataFrame) -> DataFrame:
         names = [f"__x_{i}" for i in range(len(self.features))]
-        wide = df.withColumns({n: F.col(c).cast("double") for n, c in zip(names, self.features)})
+        wide = df.withColumns({n: _input(df, c) for n, c in zip(names, self.features)})
         start = F.lit(self.start)
         if self.offset:
             start = start + F.log(F.col(self.offset).cast("double"))
@@ -91,7 +91,7 @@ class BoostedModel:
     def contributions(self, df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
         """Shapley values per feature on the margin scale; with the base they add up to it."""
         ensemble, start, names = self.trees, self.start, list(self.features)
-        rows = df.select(key, _weight(weight), *[F.col(c).cast("double").alias(c) for c in names])
+        rows = df.select(key, _weight(weight), *[_input(df, c).alias(c) for c in names])
 
         def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -121,6 +121,11 @@ def _weight(weight: str | None) -> Column:
     return (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight")
 
 
+def _input(df: DataFrame, name: str) -> Column:
+    """A feature as the fits see it: a double, missing as 0."""
+    return F.coalesce(missing_to_null(F.col(name), df.schema[name].dataType).cast("double"), F.lit(0.0))
+
+
 def score(model: Model, df: DataFrame) -> DataFrame:
     """All columns and ``pred``, the predicted rate."""
     return model.margin(df).withColumn("pred", F.exp(_MARGIN)).drop(_MARGIN)
@@ -150,14 +155,13 @@ def _training(
     key: str | None = None,
 ) -> DataFrame:
     log_offset = F.log(F.col(offset).cast("double")) if offset else F.lit(0.0)
-    rows = df.select(
-        *[F.col(c).cast("double").alias(c) for c in features],
+    return df.select(
+        *[_input(df, c).alias(c) for c in features],
         F.col(label).cast("double").alias(_LABEL),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias(_WEIGHT),
         log_offset.alias(_OFFSET),
         *([F.col(key).alias(_KEY)] if key else []),
     )
-    return fill_missing(rows, list(features))
 
 
 def fit_glm(

@@ -76,3 +76,12 @@ def monotone_directions(
         .select("field", code.alias("mono"))
         .dropna(subset=["mono"])
     )
+
+
+def constraint_text(mono: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row ``(constraints)``: the directions in feature order, as ``(1, 0, -1)``."""
+    order = F.array(*[F.lit(f) for f in features])
+    listed = F.sort_array(F.collect_list(F.struct(F.array_position(order, F.col("field")), "mono")))
+    return mono.filter(F.array_contains(order, F.col("field"))).agg(
+        F.translate(listed["mono"].cast("string"), "[]", "()").alias("constraints")
+    )

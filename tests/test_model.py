@@ -158,3 +158,12 @@ def test_monotone_check(rated):
 
 def test_model_input(rated):
     assert md.model_input(rated, ["k", "w", "off", "y", "yo"]) == FEATURES
+
+
+def test_missing_features_count_as_zero(spark, rated, boosted):
+    gaps = spark.createDataFrame([(1, None, math.nan, 2.0), (2, 0.0, 0.0, 2.0)], "k bigint, a double, b double, c double")
+    for model in (boosted, md.fit_glm(rated, FEATURES, "y", "w")):
+        first, second = md.score(model, gaps).orderBy("k").collect()
+        assert first["pred"] == second["pred"]
+        first, second = model.contributions(gaps, "k").orderBy("k").collect()
+        assert [first[c] for c in FEATURES] == [second[c] for c in FEATURES]

@@ -249,3 +249,5 @@ def test_settings_sheet(spark):
     assert {r["field"]: r["mono"] for r in mono.collect()} == {"vc_a": 1, "vc_b": 0, "vc_c": 1, "vc_d": 0}
     mono = st.monotone_directions(spark, ["vc_a", "vc_d"], table, options, unlisted=None)
     assert names(mono, "field") == ["vc_a"]
+    text = st.constraint_text(st.monotone_directions(spark, ["vc_c", "vc_a", "vc_b"], table, options), ["vc_b", "vc_a", "vc_c"])
+    assert text.first()["constraints"] == "(0, 1, 1)"
