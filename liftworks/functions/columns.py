@@ -55,9 +55,16 @@ def clip(col: Column, low: float | None, high: float | None) -> Column:
     return out
 
 
+# Fixed value: text that counts as a number.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+
+
 def to_number(col: Column) -> Column:
-    """Parse text to double; what does not parse becomes null."""
-    return col.try_cast("double")
+    """Parse text to double; what does not parse becomes null.
+
+    The pattern comes first because a failing parse raises and catches an exception per row.
+    """
+    return F.when(col.rlike(NUMBER), col.try_cast("double"))
 
 
 def text_or_nan(col: Column) -> Column:

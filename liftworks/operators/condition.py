@@ -132,7 +132,10 @@ def apply_conversions(df: DataFrame, conversions: DataFrame) -> DataFrame:
     """Coerce what a conversion table ``(column_name, target_dtype)`` lists as numeric."""
     rows = conversions.filter(F.col("target_dtype") == "numeric").select("column_name").collect()
     listed = [r[0] for r in rows if r[0] in df.columns]  # a hand-reviewed sheet
-    return _replace(df, {c: F.col(c).try_cast("double") for c in listed})
+    texts = set(text_columns(df))
+    return _replace(
+        df, {c: to_number(F.col(c)) if c in texts else F.col(c).cast("double") for c in listed}
+    )
 
 
 def detect_conversions(df: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -225,12 +225,12 @@ def fit_boosted(
     """
     if subsample < 1.0 and key is None:
         raise ValueError("subsampling needs a row key")
+    if not 1.0 < power < 2.0:
+        raise ValueError("the variance power must lie between 1 and 2")
     features = list(features)
-    rows = stage(
-        _training(df, features, label, weight, offset, key if subsample < 1.0 else None),
-        "training",
-        spread=True,
-    )
+    rows = _training(df, features, label, weight, offset, key if subsample < 1.0 else None)
+    # without weight a row has no curvature to divide by
+    rows = stage(rows.filter(F.col(_WEIGHT) > 0), "training", spread=True)
     sums = rows.agg(
         F.sum(F.col(_WEIGHT) * F.col(_LABEL)), F.sum(F.col(_WEIGHT) * F.exp(_OFFSET))
     ).first()
@@ -245,7 +245,7 @@ def fit_boosted(
         if i and i % stage_every == 0:
             current = stage(current, "margins", spread=True)
         g, h = tweedie_gradients(F.col(_MARGIN), F.col(_LABEL), F.col(_WEIGHT), power)
-        graded = current.withColumns({"__g": g, "__h": h}).filter(F.col("__h") > 0)
+        graded = current.withColumns({"__g": g, "__h": h})
         if subsample < 1.0:
             graded = hash_sample(graded, _KEY, subsample, seed + i)
         used = _pick(features, colsample, seed + i)

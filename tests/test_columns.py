@@ -46,8 +46,9 @@ def test_clip_lets_missing_through(spark):
 
 
 def test_numbers_from_text(spark):
-    got = values(spark, ["1", " 2.5 ", "Unknown", "", None], fn.to_number, "x string")
-    assert got == [1.0, 2.5, None, None, None]
+    texts = ["1", " 2.5 ", "Unknown", "", None, "-1e3", ".5", "5-LOW", "1d", "inf", "1.", "0x1", "1 2", "nan"]
+    got = values(spark, texts, fn.to_number, "x string")
+    assert got == [1.0, 2.5, None, None, None, -1000.0, 0.5, None, None, math.inf, 1.0, None, None, None]
 
 
 def test_label_codes(spark):

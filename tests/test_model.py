@@ -96,6 +96,8 @@ def test_options(rated):
     assert md.score(model, rated).filter("pred <= 0 or pred is null").count() == 0
     with pytest.raises(ValueError):
         md.fit_boosted(rated, FEATURES, "y", subsample=0.5)
+    with pytest.raises(ValueError):
+        md.fit_boosted(rated, FEATURES, "y", power=2.5)
     with pytest.raises(ValueError):
         md.fit_tweedie(rated, FEATURES, "y", method="other")
     with pytest.raises(ValueError):
