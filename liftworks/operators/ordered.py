@@ -30,7 +30,7 @@ from liftworks.functions import missing_to_null
 from liftworks.sources import stage
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 4096
+MAX_RANGES = 16_384
 _SAMPLES_PER_RANGE = 16
 _RANGE = "__range"
 

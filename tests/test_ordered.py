@@ -154,3 +154,13 @@ def test_smallest_rows(spark, size):
     got = [(r["p"], r["k"]) for r in o.smallest(df, ["p", "k"], 40, size).collect()]
     assert got == sorted((r[1], r[0]) for r in rows)[:40]
     assert o.smallest(df, ["p", "k"], 5000, size).count() == 3000
+
+
+def test_few_large_ranges_are_as_right(spark, monkeypatch):
+    monkeypatch.setattr(o, "MAX_RANGES", 3)
+    rows, df = scored(spark)
+    assert o.split_ranges(df, ["p", "k"], 10).count == 3
+    got = o.running_totals(df, ["p", "k"], {"c": F.col("w")}, rows_per_range=10).collect()
+    assert {r["k"]: r["c"] for r in got} == brute_running(rows)
+    bucket = o.weighted_buckets(df, ["p", "k"], F.col("w"), 10, rows_per_range=10)
+    assert {r["k"]: r["b"] for r in df.select("k", bucket.alias("b")).collect()} == brute_deciles(rows, 10, o.ceil_rule)
