@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -21,6 +22,9 @@ from liftworks.operators.assemble import hash_sample
 from liftworks.operators.evaluate import residual_table
 from liftworks.sources import stage
 
+# tasks get the tree code with their closure, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(trees)
+
 _NATIVE_TREES = 32
 _FEATURES, _LABEL, _WEIGHT, _OFFSET = "__features", "__label", "__weight", "__offset"
 _MARGIN, _KEY = "__margin", "__key"
@@ -77,13 +81,13 @@ class BoostedModel:
             for tree in self.trees:
                 out = out + tree.value_column(names)
         else:
-            ensemble = self.trees
+            ensemble, predict = self.trees, trees.predict
 
             @F.pandas_udf("double")
             def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
                 for x in batches:
                     values = x.to_numpy(dtype=float)
-                    yield pd.Series(sum(trees.predict(t, values) for t in ensemble))
+                    yield pd.Series(sum(predict(t, values) for t in ensemble))
 
             out = start + total(F.struct(*names))
         return wide.withColumn(_MARGIN, out).drop(*names)
@@ -91,6 +95,7 @@ class BoostedModel:
     def contributions(self, df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
         """Shapley values per feature on the margin scale; with the base they add up to it."""
         ensemble, start, names = self.trees, self.start, list(self.features)
+        shares = trees.contributions
         rows = df.select(key, _weight(weight), *[_input(df, c).alias(c) for c in names])
 
         def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,7 +103,7 @@ class BoostedModel:
                 x = batch[names].to_numpy(dtype=float)
                 total, base = 0.0, start
                 for tree in ensemble:
-                    phi, expected = trees.contributions(tree, x)
+                    phi, expected = shares(tree, x)
                     total, base = total + phi, base + expected
                 out = pd.DataFrame(total + 0.0 * x, columns=names)
                 out.insert(0, key, batch[key].to_numpy())
