@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -27,6 +28,13 @@ from liftworks.llm.text import pack_ints, unpack_ints
 #: Fixed value: the pattern by which byte-level BPE vocabularies split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Characters whose letter, number and space classes no Unicode version has changed lately. Texts
+#: with others are split by the library itself, whose Unicode version decides.
+_SETTLED = re.compile(
+    "[^\x00-\u0557\u0590-\u05ef\u0620-\u085f\u1e00-\u1fff\u2000-\u2070\u20a0-\u218b"
+    "\u2190-\u2bff\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fef\uac00-\ud7a3\uff01-\uffee]"
+)
+
 
 def special_tokens(path: str) -> list[str]:
     with open(path, encoding="utf-8") as f:
@@ -35,19 +43,28 @@ def special_tokens(path: str) -> list[str]:
 
 def splitter(special: list[str]) -> Callable[[bytes], list[str]]:
     """Words of a text; special tokens are words."""
+    from tokenizers import pre_tokenizers
+
     pattern = regex.compile(PATTERN)
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def cut(text: str) -> list[str]:
+        if _SETTLED.search(text):
+            return [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+        return pattern.findall(text)
+
     marks = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))))
 
     def split(text: bytes) -> list[str]:
         text = text.decode("utf-8", "replace")
         if not special or not marks.search(text):
-            return pattern.findall(text)
+            return cut(text)
         out, at = [], 0
         for m in marks.finditer(text):
-            out += pattern.findall(text[at : m.start()])
+            out += cut(text[at : m.start()])
             out.append(m[0])
             at = m.end()
-        return out + pattern.findall(text[at:])
+        return out + cut(text[at:])
 
     return split
 
