@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, maxent
+from liftworks.llm import bpe, maxent, simhash
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,6 +24,11 @@ def op1_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
