@@ -4,8 +4,8 @@
 by all grades, and ordered thresholds. Expected grade and tail probabilities follow from it.
 
 Features of a text are its distinct lower-cased words: each gives its letters and its punctuation,
-hashed to ``BUCKETS``, divided by the square root of the number of distinct words. Features in
-fewer than ``LEAST_DOCS`` documents of the fit have no weight.
+hashed to ``BUCKETS``, present or not. Features in fewer than
+``LEAST_DOCS`` documents of the fit, or whose grades look like chance (``LEAST_Z``), have no weight.
 
 The fit reads at most about ``MAX_LABELLED`` rated documents, chosen by a hash of the id; each round
 tasks compute gradients over their part and the driver adds one vector per task. Scores cover whole
@@ -19,6 +19,7 @@ are equally likely and everything is kept.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,10 +31,11 @@ from liftworks.sources import stage
 
 BUCKETS = 1 << 17
 MAX_LABELLED = 16_000
-LEAST_DOCS = 4
+LEAST_DOCS = 10
+LEAST_Z = 10.0
 ROUNDS = 80
-RATE = 0.5
-RIDGE = 2e-5
+RATE = 0.2
+RIDGE = 1e-3
 MEMO = 400_000  # words whose weight a task remembers
 
 #: ASCII letters and digits, and bytes of other letters: what is left of a word's letters.
@@ -62,6 +64,19 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds - scores[:, None], -60, 60)))
 
 
+def telling(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Features whose documents are graded otherwise than chance: for one of the tails, the count
+    of documents in it is ``LEAST_Z`` standard deviations or more from its expectation."""
+    n = found.sum(axis=1)
+    best = np.zeros(len(found))
+    for k in range(1, len(counts)):
+        share = counts[k:].sum() / counts.sum()
+        spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
+        if 0 < share < 1:
+            best = np.maximum(best, np.abs(found[:, k:].sum(axis=1) - n * share) / spread)
+    return (n >= LEAST_DOCS) & (best >= LEAST_Z)
+
+
 def _rated(docs: DataFrame, ratings: DataFrame, bound: int) -> DataFrame:
     marked = ratings.filter("doc_id is not null and grade is not null")
     marked = marked.groupBy("doc_id").agg(F.min("grade").alias("grade"))
@@ -76,34 +91,29 @@ def _rated(docs: DataFrame, ratings: DataFrame, bound: int) -> DataFrame:
             rows = []
             for text, grade in zip(binaries(b.column(0)), b.column(1).to_pylist()):
                 found = [f for w in set(words_of(text)) for f in features_of(w)]
-                at, times = np.unique(np.array(found, dtype=np.int32), return_counts=True)
-                rows.append((grade, at.tobytes(), times.astype(np.int32).tobytes()))
-            columns = list(zip(*rows)) or [[], [], []]
+                rows.append((grade, np.unique(np.array(found, dtype=np.int32)).tobytes()))
+            columns = list(zip(*rows)) or [[], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))],
-                names=["grade", "at", "times"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary()))],
+                names=["grade", "at"],
             )
 
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
     return joined.select("text", F.col("grade").cast("int")).mapInArrow(
-        run, "grade int, at binary, times binary"
+        run, "grade int, at binary"
     )
 
 
 def _matrix(batches):
-    """Rows of a part as flat arrays: row number, feature, value; and the grades."""
-    grades, at, values, lengths = [], [], [], []
+    """Features of a part as flat arrays, row number and feature; and the grades."""
+    grades, at = [], []
     for b in batches:
-        for g, a, t in zip(*[c.to_pylist() for c in b.columns]):
-            f, n = np.frombuffer(a, np.int32), np.frombuffer(t, np.int32)
+        for g, a in zip(*[c.to_pylist() for c in b.columns]):
             grades.append(g)
-            at.append(f)
-            values.append(n / np.sqrt(max(1, n.sum())))
-            lengths.append(len(f))
+            at.append(np.frombuffer(a, np.int32))
     if not grades:
         return None
-    rows = np.repeat(np.arange(len(grades)), lengths)
-    return rows, np.concatenate(at), np.concatenate(values), np.array(grades)
+    return np.repeat(np.arange(len(grades)), [len(a) for a in at]), np.concatenate(at), np.array(grades)
 
 
 def fit(
@@ -111,7 +121,8 @@ def fit(
 ) -> Model:
     """Model for ``ratings`` (doc_id, grade from 0 to grades - 1) of ``docs``."""
     parts = 4
-    data = stage(_rated(docs, ratings, bound).repartition(parts), "rated")
+    rated = _rated(docs, ratings, bound).groupBy("at").agg(F.min("grade").alias("grade"))
+    data = stage(rated.select("grade", "at").repartition(parts), "rated")  # copies count once
     counts = np.zeros(grades)
     for row in data.groupBy("grade").count().collect():  # one row per grade
         counts[row["grade"]] += row["count"]
@@ -124,11 +135,13 @@ def fit(
     def seen(batches):
         m = _matrix(batches)
         if m:
-            found = np.bincount(m[1], minlength=BUCKETS).astype(np.int32)
+            rows, at, grade = m
+            found = np.bincount(at * grades + grade[rows], minlength=BUCKETS * grades)
+            found = found.astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["n"])
 
-    in_docs = sum(np.frombuffer(r[0], np.int32) for r in data.mapInArrow(seen, "n binary").collect())
-    used = np.flatnonzero(in_docs >= LEAST_DOCS)
+    found = sum(np.frombuffer(r[0], np.int32) for r in data.mapInArrow(seen, "n binary").collect())
+    used = np.flatnonzero(telling(found.reshape(BUCKETS, grades), counts))
     place = np.full(BUCKETS, -1, dtype=np.int64)
     place[used] = np.arange(len(used))
     w, low, steps = np.zeros(len(used)), thresholds[0], np.log(np.diff(thresholds) + 1e-3)
@@ -146,16 +159,16 @@ def fit(
             m = _matrix(batches)
             if not m:
                 return
-            rows, at, values, grade = m
+            rows, at, grade = m
             kept = place[at] >= 0
-            rows, at, values = rows[kept], place[at[kept]], values[kept]
-            score = np.bincount(rows, weights=values * w[at], minlength=len(grade))
+            rows, at = rows[kept], place[at[kept]]
+            score = np.bincount(rows, weights=w[at], minlength=len(grade))
             edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
             upper, lower = (1 / (1 + np.exp(-np.clip(edges[grade + i] - score, -60, 60))) for i in (1, 0))
             likely = np.maximum(upper - lower, 1e-12)
             du, dl = upper * (1 - upper) / likely, lower * (1 - lower) / likely
             by_score = dl - du  # of the log likelihood
-            g = np.bincount(at, weights=values * by_score[rows], minlength=len(w))
+            g = np.bincount(at, weights=by_score[rows], minlength=len(w))
             t = np.zeros(len(thresholds))
             inner = grade < len(thresholds)
             np.add.at(t, grade[inner], du[inner])
@@ -183,22 +196,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     names = ["doc_id", "expected_grade", *[f"p_grade_{k}" for k in range(1, grades)]]
 
     def run(batches):
-        class Weight(dict):
+        class Used(dict):
             def __missing__(self, word):
                 if len(self) > MEMO:
                     self.clear()
-                found = features_of(word)
-                value = self[word] = (float(sum(weights[f] for f in found)), len(found))
-                return value
+                found = self[word] = tuple(f for f in features_of(word) if weights[f])
+                return found
 
-        weights, weight = model.weights.tolist(), Weight()
+        weights, used = model.weights.tolist(), Used()
         for b in batches:
             scores = np.zeros(b.num_rows)
             for i, text in enumerate(binaries(b.column(1))):
-                pairs = list(map(weight.__getitem__, set(words_of(text))))
-                if pairs:
-                    value, n = np.array(pairs).sum(axis=0)
-                    scores[i] = value / np.sqrt(max(1.0, n))
+                found = set(chain.from_iterable(map(used.__getitem__, set(words_of(text)))))
+                scores[i] = sum(weights[f] for f in sorted(found))
             tails = model.tails(scores)
             columns = [tails.sum(axis=1), *np.ascontiguousarray(tails.T)]
             yield pa.RecordBatch.from_arrays(
