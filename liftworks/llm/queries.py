@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, maxent, ordinal, rules, simhash
+from liftworks.llm import bpe, maxent, ordinal, rules, simhash, syncmers
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -29,6 +29,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
