@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, maxent, ordinal, rules, simhash, syncmers
+from liftworks.llm import bpe, maxent, ordinal, rules, simhash, suffixes, syncmers
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -44,6 +44,11 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
