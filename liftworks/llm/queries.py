@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, maxent, ordinal, rules, simhash, suffixes, syncmers
+from liftworks.llm import bpe, maxent, ordinal, packing, rollups, rules, simhash, suffixes, syncmers
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,6 +24,35 @@ def op1_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.replay(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_rollups"] = r"""
+WITH d AS (
+    SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents
+), c AS (
+    SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS words, length(t)::BIGINT AS chars,
+        min(doc_id) OVER (PARTITION BY t) AS first_id
+    FROM d
+), k AS (
+    SELECT * FROM c WHERE first_id IS NULL OR doc_id = first_id
+)
+SELECT source, lang, 'v1' AS version, count(*) AS n_docs,
+    sum(CASE WHEN words > 1000 THEN words + 1 ELSE words END)::BIGINT AS n_tokens, sum(chars)::BIGINT AS n_chars
+FROM k GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'v2', count(*), sum((chars + 3) // 4)::BIGINT, sum(chars)::BIGINT
+FROM k GROUP BY source, lang
+"""
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
