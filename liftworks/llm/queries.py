@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, maxent, ordinal, packing, rollups, rules, simhash, suffixes, syncmers
+from liftworks.llm import bpe, chat, maxent, ordinal, packing, rollups, rules, simhash, suffixes, syncmers
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,6 +24,11 @@ def op1_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
