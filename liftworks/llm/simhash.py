@@ -21,7 +21,6 @@ a null component. Texts with fewer words than a shingle are one shingle.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -127,23 +126,71 @@ class Forest:
             self.parent[max(a, b)] = min(a, b)
 
 
-def _links(rows: pd.DataFrame) -> pd.DataFrame:
-    codes = rows["fp"].to_numpy().view(np.uint64)
-    codes = codes[np.argsort(gray_rank(codes))]
-    side = rows["side"].to_numpy()[np.argsort(gray_rank(rows["fp"].to_numpy().view(np.uint64)))]
-    split = bool(side.any()) and not bool(side.all())
-    left = np.flatnonzero(side == 0) if split else np.arange(len(codes))
-    right = np.flatnonzero(side == 1) if split else left
-    forest = Forest(len(codes))
-    for i, j in near_pairs(codes[left], codes[right]):
-        i, j = left[i], right[j]
-        if not split:
-            i, j = i[i < j], j[i < j]
-        for a, b in zip(i.tolist(), j.tolist()):
-            forest.join(a, b)
-    a, b = (np.array([x[k] for x in forest.links], dtype=np.int64) for k in (0, 1))
-    signed = codes.view(np.int64)
-    return pd.DataFrame({"a": signed[a], "b": signed[b]})
+def _whole_tasks(batches):
+    """(group number, side, code) of the sorted rows, never cutting a group."""
+    held: list[pa.RecordBatch] = []
+
+    def arrays(table):
+        keys = [table.column(k).to_numpy() for k in ("band", "bits", "i", "j")]
+        new = np.zeros(table.num_rows, dtype=bool)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        return np.cumsum(new), table
+
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) < 50_000:
+            continue
+        group, table = arrays(pa.Table.from_batches(held).combine_chunks())
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:
+            yield group[:cut], table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+    if held:
+        yield arrays(pa.Table.from_batches(held).combine_chunks())
+
+
+def _small_pairs(group: np.ndarray, codes: np.ndarray):
+    """Pairs within groups of at most one lower node: every distance of places at once."""
+    for lag in range(1, LEAF):
+        if lag >= len(codes):
+            break
+        same = group[lag:] == group[:-lag]
+        if not same.any():
+            break
+        near = same & (np.bitwise_count(codes[lag:] ^ codes[:-lag]) <= DISTANCE)
+        i = np.flatnonzero(near)
+        yield i, i + lag
+
+
+def _links(batches):
+    for group, table in _whole_tasks(batches):
+        codes = table.column("fp").to_numpy().view(np.uint64)
+        side = table.column("side").to_numpy()
+        order = np.lexsort((gray_rank(codes), side, group))
+        group, codes, side = group[order], codes[order], side[order]
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        sizes = np.diff(np.append(starts, len(group)))
+        forest = Forest(len(codes))
+        small = np.repeat(sizes <= LEAF, sizes)
+        at = np.flatnonzero(small)
+        for i, j in _small_pairs(group[at], codes[at]):
+            for a, b in zip(at[i].tolist(), at[j].tolist()):
+                forest.join(a, b)
+        for start, size in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist()):
+            mine = codes[start : start + size]
+            cut = int((side[start : start + size] == 0).sum())
+            left, right = (mine[:cut], mine[cut:]) if 0 < cut < size else (mine, mine)
+            shift = cut if 0 < cut < size else 0
+            for i, j in near_pairs(left, right):
+                for a, b in zip((i + start).tolist(), (j + start + shift).tolist()):
+                    if a != b:
+                        forest.join(a, b)
+        signed = codes.view(np.int64)
+        pairs = np.array(forest.links, dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(signed[pairs[:, 0]]), pa.array(signed[pairs[:, 1]])], names=["a", "b"]
+        )
 
 
 def links(entries: DataFrame, split: int = SPLIT) -> DataFrame:
@@ -174,7 +221,9 @@ def links(entries: DataFrame, split: int = SPLIT) -> DataFrame:
         F.greatest("part", "other").alias("j"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
-    return tasks.groupBy("band", "bits", "i", "j").applyInPandas(_links, "a long, b long")
+    keys = ["band", "bits", "i", "j"]
+    # many small groups share a Python batch
+    return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_links, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
