@@ -17,7 +17,7 @@ def resolve_key(columns: Sequence[str], configured: str) -> str:
     for name in (configured, *KEY_ALIASES):
         if name in columns:
             return name
-    raise ValueError(f"Join key {configured} not found among {list(columns)[:20]}")
+    raise ValueError(f"Join key {configured} not found among {list(columns)}")
 
 
 def with_key(df: DataFrame, key: str) -> DataFrame:
@@ -49,13 +49,23 @@ def assemble(master: DataFrame, aux: DataFrame, key: str, how: str = "inner") ->
     def suffixed(df: DataFrame, suffix: str) -> DataFrame:
         return df.select(*[F.col(c).alias(c + suffix if c in both else c) for c in df.columns])
 
-    return suffixed(master, "_x").join(suffixed(aux, "_y"), aux_key, how)
+    return _join(suffixed(master, "_x"), suffixed(aux, "_y"), aux_key, how)
+
+
+def _join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join; in a left join, rows without a key don't travel: they would all meet in one task."""
+    if how not in ("left", "left_outer", "leftouter"):
+        return left.join(right, key, how)
+    joined = left.filter(F.col(key).isNotNull()).join(right, key, "left")
+    new = {c: F.lit(None).cast(right.schema[c].dataType) for c in right.columns if c != key}
+    alone = left.filter(F.col(key).isNull()).withColumns(new) if new else left.filter(F.col(key).isNull())
+    return joined.unionByName(alone)
 
 
 def join_new_columns(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Left join that takes from ``other`` only the columns ``df`` lacks."""
     new = [c for c in other.columns if c not in df.columns]
-    return df.join(other.select(key, *new), key, "left")
+    return _join(df, other.select(key, *new), key, "left")
 
 
 def semi_filter(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
@@ -87,17 +97,27 @@ def first_rows(
     return smallest(df, [key], n, rows_per_range)
 
 
+def draw(key: str, seed: int) -> Column:
+    """A number in hexadecimal digits that depends on key and seed only, evenly spread."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """About ``fraction`` of the rows; the same rows in every run and for every partitioning."""
-    slot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10_000))
-    return df.filter(slot < int(fraction * 10_000))
+    """About ``fraction`` of the rows; the same rows in every run and for every partitioning.
+
+    The first 40 bits of ``draw`` decide, so fractions down to 1e-12 are told apart.
+    """
+    if fraction >= 1.0:
+        return df
+    limit = f"{max(0, round(fraction * 2**40)):010x}"
+    return df.filter(F.substring(draw(key, seed), 1, 10) < limit)
 
 
 def fixed_sample(
     df: DataFrame, key: str, n: int = 10_000, seed: int = 42, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """``n`` rows (all, if fewer) in an order that depends on key and seed only."""
-    drawn = df.withColumn("__draw", F.xxhash64(F.lit(seed), F.col(key)))
+    drawn = df.withColumn("__draw", draw(key, seed))
     return smallest(drawn, ["__draw", key], n, rows_per_range).drop("__draw")
 
 
@@ -143,17 +163,29 @@ def load(
     mode: str = "full",
     n: int = 10_000,
     fraction: float = 0.10,
-    numeric_text: Sequence[str] = (),
+    numeric_text: Sequence[str] | None = None,
     seed: int = 42,
+    on_leakage: str = "ignore",
 ) -> DataFrame:
-    """Rows for a fit: all, the first ``n`` or a fraction; text coerced; target not missing."""
-    from liftworks.operators.condition import coerce_numeric, has_value
+    """Rows for a fit: all, the first ``n`` or a fraction; text coerced; target not missing.
 
+    ``numeric_text`` defaults to the fixed list of columns known to hold numbers as text. The
+    leakage scan always runs; ``on_leakage="error"`` raises if it finds columns.
+    """
+    from liftworks.operators.catalog import leaking
+    from liftworks.operators.condition import NUMERIC_TEXT_COLUMNS, coerce_numeric, has_value
+
+    if on_leakage not in ("ignore", "error"):
+        raise ValueError("on_leakage is 'ignore' or 'error'")
+    found = leaking(df.columns)
+    if found and on_leakage == "error":
+        raise ValueError(f"columns that leak the target: {found}")
     if mode == "first":
         df = first_rows(df, key, n)
     elif mode == "fraction":
         df = hash_sample(df, key, fraction, seed)
     elif mode != "full":
         raise ValueError(f"unknown mode {mode}")
-    df = coerce_numeric(df, [c for c in numeric_text if c in df.columns])
+    listed = NUMERIC_TEXT_COLUMNS if numeric_text is None else numeric_text
+    df = coerce_numeric(df, [c for c in listed if c in df.columns])
     return downcast(has_value(df, target), keep=[key])

@@ -153,6 +153,11 @@ def leakage_pattern(name: Column, patterns: Sequence[str] = LEAKAGE_PATTERNS) ->
     return F.coalesce(*[F.when(lower.startswith(p), F.lit(p)) for p in patterns])
 
 
+def leaking(columns: Sequence[str], patterns: Sequence[str] = LEAKAGE_PATTERNS) -> list[str]:
+    """Columns whose lower-case name starts with a pattern."""
+    return [c for c in columns if c.lower().startswith(tuple(patterns))]
+
+
 def leakage_scan(
     catalog: DataFrame, excluded: DataFrame, patterns: Sequence[str] = LEAKAGE_PATTERNS
 ) -> DataFrame:
@@ -169,6 +174,7 @@ def leakage_scan(
         "column_name",
         "pattern",
         leaker.alias("leaker"),
+        # Fixed value: text of an exclusion row
         F.when(leaker, F.concat_ws(",", "column_name", F.lit("data_leakage"), F.lit("leakage"))).alias(
             "csv_row"
         ),

@@ -100,10 +100,11 @@ def fit_categories(
         return {}
     texts = {n: text_or_nan(c) for n, c in values.items()}
     rough = df.agg(*[F.approx_count_distinct(t).alias(n) for n, t in texts.items()]).first()
-    likely = {n: t for n, t in texts.items() if rough[n] <= 2 * max_unique}
+    # the estimate only keeps sets small: its error is some percent, not a factor of three
+    likely = {n: t for n, t in texts.items() if rough[n] <= 3 * max_unique + 10}
     if not likely:
         return {}
-    # bounded by the approximate counts: sets of about 2 * max_unique values
+    # bounded by the approximate counts: sets of about 3 * max_unique values
     found = df.agg(*[F.sort_array(F.collect_set(t)).alias(n) for n, t in likely.items()]).first()
     return {
         n: found[n] for n in likely if len([v for v in found[n] if v != "nan"]) <= max_unique
@@ -114,7 +115,7 @@ def code_table(df: DataFrame, column: str) -> DataFrame:
     """``(category, code)`` of a text column with any number of categories, in sorted order."""
     values = stage(df.select(F.col(column).alias("category")).dropna().distinct(), "categories")
     ranked = running_totals(values, ["category"], {"rank": F.lit(1).cast("bigint")})
-    return stage(ranked.select("category", (F.col("rank") - 1).cast("float").alias("code")), "codes")
+    return stage(ranked.select("category", (F.col("rank") - 1).cast("double").alias("code")), "codes")
 
 
 # --- fitted state -----------------------------------------------------------------------------
@@ -146,7 +147,7 @@ class Step:
             return one_hot(remap_level(col, 2, 4), name, self.categories)
         if self.kind == "label":
             return [label_code(col, self.categories).alias(name)]
-        return [F.coalesce(F.col(f"__code_{name}"), F.lit(-1.0)).cast("float").alias(name)]
+        return [F.coalesce(F.col(f"__code_{name}"), F.lit(-1.0)).alias(name)]
 
     def names(self) -> list[str]:
         if self.kind in ("one_hot", "remap_one_hot"):
@@ -170,7 +171,7 @@ class EncoderState:
         return names if self.include is None else [n for n in names if n in self.include]
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Encoded features as float columns, with the columns of ``keep`` in front."""
+        """Encoded features as float columns (numbers of joined categories as double), with the columns of ``keep`` in front."""
         wanted = set(self.feature_names)
         for name, codes in self.code_tables.items():
             codes = codes.select(
@@ -185,7 +186,7 @@ class EncoderState:
 
 def _mapped_steps(
     df: DataFrame, strategies: Mapping[str, str], numeric: Sequence[str], text: Sequence[str],
-    max_unique: int,
+    max_unique: int, on_wide: str,
 ) -> tuple[list[Step], list[str], dict[str, DataFrame]]:
     plan = {c: strategies.get(c) or "not_specified" for c in [*numeric, *text]}
     one_hots = {c: F.col(c) for c, s in plan.items() if s in ("ohe", "group_ohe")}
@@ -216,6 +217,9 @@ def _mapped_steps(
                 steps.append(Step(c, kind, categories=tuple(categories[c])))
             else:
                 skipped.append(c)
+                if on_wide == "codes":
+                    tables[c] = code_table(df, c)
+                    steps.append(Step(c, "label_table"))
         else:
             raise ValueError(f"unknown strategy {strategy} for {c}")
     return steps, skipped, tables
@@ -228,6 +232,7 @@ def fit_encoder(
     include: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     max_unique: int = MAX_UNIQUE,
+    on_wide: str = "error",
 ) -> EncoderState:
     """Fit one of the encoding schemes on training rows.
 
@@ -236,16 +241,21 @@ def fit_encoder(
     * ``mapped`` follows ``mapping``, a strategy per column
     * ``custom`` collapses 0-5 columns after moving level 2 to 4, {0,1,4} against {3,5}
 
-    Text columns with more than ``max_unique`` categories are not one-hot encoded. ``include``
-    is a whitelist of encoded names.
+    Text columns with more than ``max_unique`` categories are not one-hot encoded; ``on_wide`` says
+    what happens to them: ``error``, ``drop`` (listed in ``skipped``) or ``codes`` (one column of
+    category numbers). ``include`` is a whitelist of encoded names.
     """
+    if on_wide not in ("error", "drop", "codes"):
+        raise ValueError("on_wide is 'error', 'drop' or 'codes'")
+
     if scheme not in SCHEMES:
         raise ValueError(f"unknown scheme {scheme}")
     skip = always_excluded(exclude)
     numeric, text = numeric_columns(df, skip), text_columns(df, skip)
     white = tuple(include) if include is not None else None
     if scheme == "mapped":
-        steps, skipped, tables = _mapped_steps(df, mapping or {}, numeric, text, max_unique)
+        steps, skipped, tables = _mapped_steps(df, mapping or {}, numeric, text, max_unique, on_wide)
+        _refuse(skipped, on_wide, max_unique)
         return EncoderState(scheme, tuple(steps), white, tuple(skipped), tables)
 
     ordinal: set[str] = set()
@@ -261,4 +271,12 @@ def fit_encoder(
     categories = fit_categories(df, text, max_unique)
     steps += [Step(c, "one_hot", categories=tuple(categories[c])) for c in text if c in categories]
     skipped = tuple(c for c in text if c not in categories)
-    return EncoderState(scheme, tuple(steps), white, skipped)
+    _refuse(skipped, on_wide, max_unique)
+    tables = {c: code_table(df, c) for c in skipped} if on_wide == "codes" else {}
+    steps += [Step(c, "label_table") for c in tables]
+    return EncoderState(scheme, tuple(steps), white, skipped, tables)
+
+
+def _refuse(wide: Sequence[str], on_wide: str, max_unique: int) -> None:
+    if wide and on_wide == "error":
+        raise ValueError(f"more than {max_unique} categories: {list(wide)}; pass on_wide to drop or number them")

@@ -7,49 +7,57 @@ map-side aggregate. No pass shuffles the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from liftworks.functions import missing_to_null, per_hundred, round_digits
+from liftworks.functions import is_missing, missing_to_null, per_hundred, round_digits
 from liftworks.operators.ordered import (
     ROWS_PER_RANGE,
     ceil_rule,
     floor_rule,
-    quantiles,
     running_totals,
     weighted_buckets,
+    zero_if_missing,
 )
-from liftworks.sources import stage
-
-# --- checks and filters -----------------------------------------------------------------------
+from liftworks.sources import release, stage
 
+_LOSSES = ("incurred_act", "incurred_pred")
 
-def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+# --- checks and filters -----------------------------------------------------------------------
 
 
-def check_facts(
+def violations(
     df: DataFrame, weight: str, bins: int, base: str = "pred", denom: str | None = "denom"
-) -> None:
-    """Preconditions of the relativity lift tables, in one aggregate."""
-    require_columns(df, ["pred", "incurred_act", "incurred_pred", weight, *([denom] if denom else [])])
-    if bins <= 1:
-        raise ValueError("bins must be > 1")
+) -> list[str]:
+    """All preconditions of the relativity lift tables that do not hold, in one aggregate."""
+    needed = ["pred", *_LOSSES, weight, *([denom] if denom else [])]
+    out = [f"column {c} is absent" for c in needed if c not in df.columns]
+    if bins < 2:
+        out.append("a lift table takes two buckets or more")
     if base not in ("pred", "act"):
-        raise ValueError("relativity base must be 'pred' or 'act'")
-    tests = [F.sum(weight).alias("total"), F.min(weight).alias("least_weight")]
-    if denom:
-        tests.append(F.min(denom).alias("least_denom"))
-    seen = df.agg(*tests).first()
-    if denom and seen["least_denom"] is not None and seen["least_denom"] <= 0:
-        raise ValueError(f"{denom} must be > 0 for all rows")
-    if seen["least_weight"] is not None and seen["least_weight"] < 0:
-        raise ValueError(f"{weight} must be >= 0 for all rows")
-    if seen["total"] is None or seen["total"] <= 0:
-        raise ValueError(f"sum of {weight} must be > 0")
+        out.append(f"relativities are to 'pred' or 'act', not to {base!r}")
+    if weight not in df.columns:
+        return out
+    tests = [F.sum(weight).alias("weights"), F.count_if(F.col(weight) < 0).alias("negative")]
+    if denom in df.columns:
+        tests.append(F.count_if(F.col(denom) <= 0).alias("empty"))
+    seen = df.agg(*tests).first().asDict()
+    if seen.get("empty"):
+        out.append(f"{denom} is not positive in {seen['empty']} rows")
+    if seen["negative"]:
+        out.append(f"{weight} is negative in {seen['negative']} rows")
+    if not (seen["weights"] or 0) > 0:
+        out.append(f"{weight} adds up to nothing")
+    return out
+
+
+def check_facts(df: DataFrame, *args, **options) -> None:
+    """Raise with every violated precondition."""
+    found = violations(df, *args, **options)
+    if found:
+        raise ValueError("; ".join(found))
 
 
 def valid_facts(df: DataFrame, numerator: str, denominator: str, weight: str) -> DataFrame:
@@ -63,12 +71,16 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def excluded_loss_share(df: DataFrame, premium: str) -> DataFrame:
-    """What dropping rows without positive premium would lose: rows and shares of both losses."""
+def excluded_loss_share(df: DataFrame, premium: str, weight: str | None = None) -> DataFrame:
+    """What dropping rows without positive premium would lose: rows and shares of both losses.
+
+    Rows in which the prediction, a loss, the premium or the weight is missing count nowhere.
+    """
     bad = F.col(premium) <= 0
     part = [F.sum(F.when(bad, F.col(c)).otherwise(0)).alias(c) for c in _LOSSES]
     whole = [F.sum(c).alias(f"all_{c}") for c in _LOSSES]
-    sums = drop_incomplete(df, ["pred", *_LOSSES, premium]).agg(
+    known = ["pred", *_LOSSES, premium, *([weight] if weight else [])]
+    sums = drop_incomplete(df, known).agg(
         F.count(F.when(bad, 1)).alias("dropped_rows"), *part, *whole
     )
     return sums.select(
@@ -80,8 +92,6 @@ def excluded_loss_share(df: DataFrame, premium: str) -> DataFrame:
     )
 
 
-_LOSSES = ("incurred_act", "incurred_pred")
-
 # --- prediction facts -------------------------------------------------------------------------
 
 
@@ -132,10 +142,17 @@ def _ratio(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def _missing_last(df: DataFrame, pred: str, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Order by prediction, missing ones (null or NaN) last, then by key."""
+    absent = is_missing(F.col(pred), df.schema[pred].dataType).cast("int")
+    return df.withColumn("__missing", absent), ["__missing", pred, *[k for k in key if k != pred]]
+
+
 def _decile_sums(
     df: DataFrame, weight: str, key: str, bins: int, facts: Sequence[str], rule, rows_per_range: int
 ) -> DataFrame:
-    decile = weighted_buckets(df, ["pred", key], F.col(weight), bins, rule, rows_per_range)
+    df, order = _missing_last(df, "pred", [key])
+    decile = weighted_buckets(df, order, F.col(weight), bins, rule, rows_per_range)
     sums = dict.fromkeys([weight, *facts])
     return df.groupBy(decile.alias("decile")).agg(*[F.sum(c).alias(c) for c in sums])
 
@@ -155,7 +172,7 @@ def lift(
     ``variant``: ``fast`` divides both relativities by the overall prediction; ``relativity`` and
     ``premium`` divide the actual by the overall actual and the prediction by ``base``;
     ``legacy``, ``legacy_pct`` and ``offset`` use the older bucket rule and give levels only.
-    Rows with equal predictions are ordered by ``key``.
+    Rows with equal predictions are ordered by ``key``, rows without one come last.
     """
     if variant not in ("fast", "relativity", "premium", "legacy", "legacy_pct", "offset"):
         raise ValueError(f"unknown lift variant {variant}")
@@ -169,10 +186,12 @@ def lift(
         if not premium:
             raise ValueError("variant 'premium' needs a premium column")
         facts, denom = ["incurred_act", "incurred_pred", premium], premium
-        require_columns(df, ["pred", *facts, weight])
+        check_facts(df, weight, bins, base, None)  # before rows without premium go
+        if premium not in df.columns:
+            raise ValueError(f"column {premium} is absent")
         df = drop_incomplete(df, ["pred", *facts, weight]).filter(F.col(premium) > 0)
-    if variant in ("relativity", "premium"):
-        check_facts(df, weight, bins, base, None if variant == "premium" else "denom")
+    if variant == "relativity":
+        check_facts(df, weight, bins, base)
     act, pred = facts[0], facts[1]
 
     sums = _decile_sums(df, weight, key, bins, facts, rule, rows_per_range)
@@ -216,12 +235,11 @@ def weight_share(weight: str) -> Column:
 
 
 def _ranked(df: DataFrame, actual: str, pred: str, key: Sequence[str], rows_per_range: int) -> DataFrame:
-    return running_totals(
-        df.select(actual, pred, *[k for k in key if k not in (actual, pred)]),
-        [pred, *[k for k in key if k != pred]],
-        {"rank": F.lit(1).cast("bigint"), "running": F.col(actual)},
-        rows_per_range=rows_per_range,
-    )
+    """Rank and running actual; a missing actual counts as 0, a missing prediction ranks last."""
+    df = df.select(actual, pred, *[k for k in key if k not in (actual, pred)])
+    df, order = _missing_last(df.withColumn(actual, zero_if_missing(df, actual)), pred, key)
+    sums = {"rank": F.lit(1).cast("bigint"), "running": F.col(actual)}
+    return running_totals(df, order, sums, rows_per_range=rows_per_range)
 
 
 def gini(
@@ -248,12 +266,14 @@ def lorenz(
 ) -> DataFrame:
     """Curve points ``(position, population_share, actual_share)``, the origin at position 0."""
     ranked = _ranked(df, actual, pred, key, rows_per_range)
-    n = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    total = df.agg(F.sum(actual).cast("double")).scalar()
-    points = ranked.select(
+    whole = df.agg(
+        F.count(F.lit(1)).cast("double").alias("__n"),
+        F.sum(zero_if_missing(df, actual)).cast("double").alias("__total"),
+    )
+    points = ranked.crossJoin(F.broadcast(whole)).select(  # one row of totals
         F.col("rank").alias("position"),
-        F.try_divide(F.col("rank").cast("double"), n).alias("population_share"),
-        F.try_divide(F.col("running").cast("double"), total).alias("actual_share"),
+        F.try_divide(F.col("rank").cast("double"), "__n").alias("population_share"),
+        F.try_divide(F.col("running").cast("double"), "__total").alias("actual_share"),
     )
     origin = df.sparkSession.createDataFrame([(0, 0.0, 0.0)], points.schema)
     return points.unionByName(origin)
@@ -294,13 +314,11 @@ def residual_tables(
         .select("field", round_digits(F.col("raw"), digits).alias("level"), *facts),
         "levels",
     )
-    sizes = levels.groupBy("field").count().collect()  # one row per feature
+    edges = _bin_edges(levels, max_levels, q, rows_per_range)
     bin_id = F.lit(None).cast("int")
-    for field in sorted(r["field"] for r in sizes if r["count"] > max_levels):
-        of_field = levels.filter(F.col("field") == field)
-        edges = sorted(set(quantiles(of_field, "level", _even_probabilities(q), rows_per_range)))
+    for field, cuts in edges.items():
         place = F.lit(1)
-        for i, edge in enumerate(edges[1:-1], 1):
+        for i, edge in enumerate(cuts[1:-1], 1):
             place = F.when(F.col("level") > edge, i + 1).otherwise(place)
         bin_id = F.when(F.col("field") == field, place).otherwise(bin_id)
     placed = levels.withColumn("bin", bin_id)
@@ -322,6 +340,41 @@ def residual_tables(
     )
 
 
+def _bin_edges(levels: DataFrame, max_levels: int, q: int, rows_per_range: int) -> dict[str, list[float]]:
+    """Distinct quantile edges of the rounded levels of every feature with more than ``max_levels``
+    raw levels, linearly interpolated. One running total finds the wanted ranks of all features."""
+    sizes = levels.groupBy("field").count().collect()  # one row per feature
+    spots = {
+        r["field"]: [(r["count"] - 1) * p for p in _even_probabilities(q)]
+        for r in sizes
+        if r["count"] > max_levels
+    }
+    if not spots:
+        return {}
+    wanted = sorted({(f, r + 1) for f, s in spots.items() for x in s for r in (math.floor(x), math.ceil(x))})
+    ranks = levels.sparkSession.createDataFrame(wanted, "field string, rank long")
+    counts = levels.groupBy("field", "level").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(F.broadcast(ranks.select("field").distinct()), "field", "left_semi")
+    upto = stage(
+        running_totals(counts, ["level"], {"upto": F.col("n")}, ["field"], rows_per_range), "level_ranks"
+    )
+    # at most 2 * (q + 1) ranks of a feature
+    hits = upto.alias("u").join(
+        F.broadcast(ranks).alias("r"),
+        (F.col("u.field") == F.col("r.field"))
+        & (F.col("r.rank") <= F.col("u.upto"))
+        & (F.col("r.rank") > F.col("u.upto") - F.col("u.n")),
+    )
+    at = {(r["field"], r["rank"]): r["level"] for r in hits.select("r.field", "r.rank", "u.level").collect()}
+    release(upto)
+
+    def value(field: str, spot: float) -> float:
+        low, high = at[(field, math.floor(spot) + 1)], at[(field, math.ceil(spot) + 1)]
+        return low + (high - low) * (spot - math.floor(spot))
+
+    return {f: sorted({value(f, x) for x in s}) for f, s in spots.items()}
+
+
 def residual_table(df: DataFrame, feature: str, weight: str, **options) -> DataFrame:
     """``residual_tables`` of one feature."""
     return residual_tables(df, [feature], weight, **options).drop("field")

@@ -93,6 +93,7 @@ def with_remainder(table: DataFrame, by: str, n: int) -> DataFrame:
     ranked = table.select(
         "field", by, F.row_number().over(falling).alias("rank"), F.count("*").over(everything).alias("n")
     )
+    # Fixed value: name of the remainder row
     label = F.concat(F.lit("Sum of "), (F.col("n") - n).cast("string"), F.lit(" other features"))
     folded = ranked.select(
         F.when(F.col("rank") <= n, F.col("field")).otherwise(label).alias("feature"),

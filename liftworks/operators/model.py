@@ -1,4 +1,4 @@
-"""Tweedie models on MLlib: a log-link GLM and Newton boosting of regression trees.
+"""Tweedie models: a log-link GLM on MLlib, and Newton boosting of regression trees.
 
 Both predict a rate; the margin is its logarithm. Scoring and contributions keep the row key.
 """
@@ -7,25 +7,28 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Iterator, Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from liftworks.functions import missing_to_null
 from liftworks.operators import trees
 from liftworks.operators.assemble import hash_sample
-from liftworks.operators.evaluate import residual_table
-from liftworks.sources import stage
+from liftworks.operators.evaluate import residual_tables
+from liftworks.sources import release, stage
 
-# tasks get the tree code with their closure, so executors need no copy of this package
+# tasks get this code with their closure, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(trees)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_NATIVE_TREES = 32
 _FEATURES, _LABEL, _WEIGHT, _OFFSET = "__features", "__label", "__weight", "__offset"
 _MARGIN, _KEY = "__margin", "__key"
 
@@ -76,36 +79,33 @@ class BoostedModel:
         start = F.lit(self.start)
         if self.offset:
             start = start + F.log(F.col(self.offset).cast("double"))
-        if len(self.trees) <= _NATIVE_TREES:
-            out = start
-            for tree in self.trees:
-                out = out + tree.value_column(names)
-        else:
-            ensemble, predict = self.trees, trees.predict
-
-            @F.pandas_udf("double")
-            def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-                for x in batches:
-                    values = x.to_numpy(dtype=float)
-                    yield pd.Series(sum(predict(t, values) for t in ensemble))
-
-            out = start + total(F.struct(*names))
+        ensemble, predict = self.trees, trees.predict
+
+        @F.pandas_udf("double")
+        def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            for x in batches:
+                values = x.to_numpy(dtype=float)
+                out = np.zeros(len(values))
+                for t in ensemble:
+                    out += predict(t, values)
+                yield pd.Series(out)
+
+        out = start + total(F.struct(*names)) if self.trees else start
         return wide.withColumn(_MARGIN, out).drop(*names)
 
     def contributions(self, df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
         """Shapley values per feature on the margin scale; with the base they add up to it."""
         ensemble, start, names = self.trees, self.start, list(self.features)
-        shares = trees.contributions
+        tables, add = trees.leaf_tables, trees.add_contributions
         rows = df.select(key, _weight(weight), *[_input(df, c).alias(c) for c in names])
 
         def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            leaves = [tables(t) for t in ensemble]
             for batch in batches:
                 x = batch[names].to_numpy(dtype=float)
-                total, base = 0.0, start
-                for tree in ensemble:
-                    phi, expected = shares(tree, x)
-                    total, base = total + phi, base + expected
-                out = pd.DataFrame(total + 0.0 * x, columns=names)
+                total = np.zeros(x.shape)
+                base = start + sum(add(t, x, total) for t in leaves)
+                out = pd.DataFrame(total, columns=names)
                 out.insert(0, key, batch[key].to_numpy())
                 out["base_value"] = base
                 out["weight"] = batch["weight"].to_numpy()
@@ -186,6 +186,7 @@ def fit_glm(
         weightCol=_WEIGHT, offsetCol=_OFFSET, regParam=ridge, tol=1e-10, maxIter=50,
     ).fit(vectors)
     means = rows.agg(*[F.avg(c) for c in features]).first()
+    release(rows)
     return LinearModel(
         tuple(features), float(fitted.intercept), tuple(map(float, fitted.coefficients)),
         tuple(map(float, means)), offset,
@@ -200,6 +201,35 @@ def tweedie_gradients(margin: Column, label: Column, weight: Column, power: floa
     return g, h
 
 
+def _gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, power: float):
+    low, high = np.exp((1.0 - power) * margin), np.exp((2.0 - power) * margin)
+    return weight * (high - label * low), weight * ((2.0 - power) * high - (1.0 - power) * label * low)
+
+
+def feature_cuts(df: DataFrame, features: Sequence[str], max_bins: int) -> list[np.ndarray]:
+    """Cut points of each feature, at most ``max_bins - 1``: between neighbouring values where
+    there are few, else approximate quantiles."""
+    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    few = [c for c in features if rough[c] <= max_bins]
+    many = [c for c in features if rough[c] > max_bins]
+    cuts = {}
+    if few:  # sets of about max_bins values
+        sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
+        for c in few:
+            values = np.array(sets[c], dtype=float)
+            cuts[c] = (values[1:] + values[:-1]) / 2
+            if len(cuts[c]) >= max_bins:
+                many.append(c)
+    if many:
+        shares = [i / max_bins for i in range(1, max_bins)]
+        found = df.approxQuantile(many, shares, 0.1 / max_bins)
+        cuts |= {c: np.unique(np.array(q, dtype=float)) for c, q in zip(many, found)}
+    return [cuts[c] for c in features]
+
+
+_BINNED = "margin double, label double, weight double, bins binary"
+
+
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -219,67 +249,139 @@ def fit_boosted(
     key: str | None = None,
     seed: int = 42,
     stage_every: int = 10,
+    monotone: Sequence[int] | None = None,
 ) -> BoostedModel:
-    """Newton boosting for the Tweedie deviance.
-
-    A round fits a weighted regression tree to ``-g/h`` with weights ``h``, sums g and h per leaf
-    in Spark, and sets the leaf to its shrunken Newton step. Margins are kept as an expression
-    over the last rounds' trees and written out every ``stage_every`` rounds, which bounds the plan
-    and cuts lineage. Only leaf sums and tree nodes reach the driver. Row subsampling hashes ``key``
-    with the round, so the tree fit and the leaf sums see the same rows.
+    """Newton boosting for the Tweedie deviance over binned features.
+
+    Features are binned to bytes once. Each tree level is one job: tasks sum g and h by (node,
+    feature, bin) of their rows, Spark adds the sums, and the driver picks splits by regularised
+    gain. A child holds at least ``min_child_weight`` of h, exactly; ``monotone`` directions (-1, 0,
+    1 per feature) bind splits and leaves. Margins are recomputed from the trees since the last
+    written generation, which is written every ``stage_every`` rounds and then replaces the one
+    before. Row subsampling hashes ``key`` with the round.
     """
     if subsample < 1.0 and key is None:
         raise ValueError("subsampling needs a row key")
     if not 1.0 < power < 2.0:
         raise ValueError("the variance power must lie between 1 and 2")
+    if not 2 <= max_bins <= 256:
+        raise ValueError("max_bins must lie between 2 and 256")
     features = list(features)
+    if monotone is not None and (len(monotone) != len(features) or set(monotone) - {-1, 0, 1}):
+        raise ValueError("monotone takes -1, 0 or 1 for each feature")
     rows = _training(df, features, label, weight, offset, key if subsample < 1.0 else None)
-    # without weight a row has no curvature to divide by
-    rows = stage(rows.filter(F.col(_WEIGHT) > 0), "training", spread=True)
+    rows = stage(rows.filter(F.col(_WEIGHT) > 0), "training")  # others have no curvature
     sums = rows.agg(
         F.sum(F.col(_WEIGHT) * F.col(_LABEL)), F.sum(F.col(_WEIGHT) * F.exp(_OFFSET))
     ).first()
     if not sums[0] or sums[0] <= 0:
         raise ValueError("the weighted label must have a positive sum")
     start = math.log(sums[0] / sums[1])
-    current = rows.withColumn(_MARGIN, F.col(_OFFSET) + F.lit(start))
-    _, first_h = tweedie_gradients(F.col(_MARGIN), F.col(_LABEL), F.col(_WEIGHT), power)
-    all_h = current.agg(F.sum(first_h)).first()[0] if min_child_weight else 0.0
+    cuts = feature_cuts(rows, features, max_bins)
+    extra = [F.col(_KEY)] if subsample < 1.0 else []
+    key_field = f", {_KEY} {rows.schema[_KEY].dataType.simpleString()}" if extra else ""
+    current = stage(_binned(rows, features, cuts, start, extra, key_field), "binned", spread=True)
+    release(rows)
+    penalty = trees.Penalty(alpha, ridge, min_child_weight, tuple(monotone or ()))
     fitted: list[trees.Tree] = []
+    pending: list[tuple[trees.Grower, np.ndarray]] = []  # since the written margins
     for i in range(rounds):
-        if i and i % stage_every == 0:
-            current = stage(current, "margins", spread=True)
-        g, h = tweedie_gradients(F.col(_MARGIN), F.col(_LABEL), F.col(_WEIGHT), power)
-        graded = current.withColumns({"__g": g, "__h": h})
-        if subsample < 1.0:
-            graded = hash_sample(graded, _KEY, subsample, seed + i)
+        if pending and i % stage_every == 0:
+            new = stage(_moved(current, pending, len(features), key_field), "binned")
+            release(current)
+            current, pending = new, []
         used = _pick(features, colsample, seed + i)
-        training = graded.withColumn("__step", -F.col("__g") / F.col("__h"))
-        vectors = VectorAssembler(inputCols=used, outputCol=_FEATURES).transform(training)
-        tree = trees.from_mllib(
-            DecisionTreeRegressor(
-                featuresCol=_FEATURES, labelCol="__step", weightCol="__h", maxDepth=max_depth,
-                maxBins=max_bins, seed=seed + i, cacheNodeIds=False,
-                minWeightFractionPerNode=min(0.49, min_child_weight / all_h) if all_h else 0.0,
-            ).fit(vectors.select(_FEATURES, "__step", "__h"))
-        )
-        leaf = tree.leaf_column(used)
-        totals = graded.groupBy(leaf.alias("leaf")).agg(
-            F.sum("__g").alias("g"), F.sum("__h").alias("h")
-        ).collect()  # one row per leaf
-        if min_child_weight:
-            all_h = sum(t["h"] for t in totals)  # the next round's, nearly
-        values = {t["leaf"]: learning_rate * _newton_step(t["g"], t["h"], alpha, ridge) for t in totals}
-        tree = tree.with_leaves(values, {t["leaf"]: t["h"] for t in totals})
-        tree = _renumber(tree, [features.index(c) for c in used])
+        grower = trees.Grower(cuts, [features.index(c) for c in used], penalty)
+        drawn = hash_sample(current, _KEY, subsample, seed + i) if extra else current
+        for _ in range(max(1, max_depth)):
+            if not grower.open:
+                break
+            g, h = _histograms(drawn, pending, grower, len(features), max_bins, power)
+            grower.grow(g, h) if max_depth else None
+        tree = grower.tree(learning_rate)
         fitted.append(tree)
-        current = current.withColumn(_MARGIN, F.col(_MARGIN) + tree.value_column(features))
+        pending.append((grower, np.array([n.value for n in tree.nodes])))
+    release(current)
     return BoostedModel(tuple(features), start, tuple(fitted), offset)
 
 
-def _newton_step(g: float, h: float, alpha: float, ridge: float) -> float:
-    shrunk = math.copysign(max(abs(g) - alpha, 0.0), g)
-    return -shrunk / (h + ridge)
+def _binned(rows, features, cuts, start, extra, key_field) -> DataFrame:
+    """Start margins and the bins of all features as one byte string."""
+    n, names = len(features), [*_BINNED_NAMES, *([_KEY] if extra else [])]
+
+    def run(batches):
+        for b in batches:
+            bins = np.stack(
+                [np.searchsorted(c, b.column(k).to_numpy(), side="left") for k, c in enumerate(cuts)], axis=1
+            ).astype(np.uint8)
+            width = bins.shape[1]
+            flat = bins.tobytes()
+            items = [flat[k : k + width] for k in range(0, len(flat), width)]
+            offset = b.column(n + 2).to_numpy()
+            columns = [
+                pa.array(offset + start), b.column(n), b.column(n + 1),
+                pa.array(items, pa.binary()), *b.columns[n + 3 :],
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    ordered = rows.select(*features, _LABEL, _WEIGHT, _OFFSET, *extra)
+    return ordered.mapInArrow(run, _BINNED + key_field)
+
+
+_BINNED_NAMES = ("margin", "label", "weight", "bins")
+
+
+def _bins_of(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _margins(batch: pa.RecordBatch, bins: np.ndarray, pending) -> np.ndarray:
+    margin = batch.column(0).to_numpy().copy()
+    for grower, values in pending:
+        margin += values[grower.place(bins)]
+    return margin
+
+
+def _moved(current: DataFrame, pending, width: int, key_field: str) -> DataFrame:
+    """The next generation of margins."""
+
+    def run(batches):
+        for b in batches:
+            margin = pa.array(_margins(b, _bins_of(b, width), pending))
+            yield pa.RecordBatch.from_arrays([margin, *b.columns[1:]], names=b.schema.names)
+
+    return current.mapInArrow(run, _BINNED + key_field)
+
+
+def _histograms(current: DataFrame, pending, grower, width: int, max_bins: int, power: float):
+    """Sums of g and h by (open node, feature, bin)."""
+    shape = (len(grower.open), width, max_bins)
+
+    def run(batches):
+        place = np.full(len(grower.feature), -1)
+        place[grower.open] = np.arange(len(grower.open))
+        sums = np.zeros((2, *shape)).reshape(2, -1)
+        for b in batches:
+            bins = _bins_of(b, width)
+            g, h = _gradients(_margins(b, bins, pending), *(b.column(k).to_numpy() for k in (1, 2)), power)
+            node = place[grower.place(bins)]
+            kept = node >= 0
+            node, bins, g, h = node[kept], bins[kept], g[kept], h[kept]
+            for f in range(width):
+                cell = (node * width + f) * max_bins + bins[:, f]
+                sums[0] += np.bincount(cell, g, sums.shape[1])
+                sums[1] += np.bincount(cell, h, sums.shape[1])
+        at = np.flatnonzero(sums[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], names=["cell", "g", "h"]
+        )
+
+    parts = current.mapInArrow(run, "cell long, g double, h double")
+    out = np.zeros((2, math.prod(shape)))
+    # at most nodes x features x bins rows
+    for r in parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+        out[0, r["cell"]], out[1, r["cell"]] = r["g"], r["h"]
+    return out[0].reshape(shape), out[1].reshape(shape)
 
 
 def _pick(features: list[str], fraction: float, seed: int) -> list[str]:
@@ -289,18 +391,6 @@ def _pick(features: list[str], fraction: float, seed: int) -> list[str]:
     return [c for c in features if c in chosen]
 
 
-def _renumber(tree: trees.Tree, positions: list[int]) -> trees.Tree:
-    return trees.Tree(
-        tuple(
-            trees.Node(
-                positions[n.feature] if n.feature >= 0 else -1,
-                n.threshold, n.left, n.right, n.value, n.cover,
-            )
-            for n in tree.nodes
-        )
-    )
-
-
 def fit_tweedie(df: DataFrame, features, label, weight=None, offset=None, power=1.5, method="glm", **options) -> Model:
     """Fit by ``method``: ``glm`` or ``boost``; further options go to that fit."""
     fits = {"glm": fit_glm, "boost": fit_boosted}
@@ -363,18 +453,23 @@ def load_model(spark: SparkSession, path: str) -> Model:
 # --- monotonicity -----------------------------------------------------------------------------
 
 
-def monotone_check(scored: DataFrame, feature: str, weight: str, direction: int) -> DataFrame:
-    """Mean prediction per level of a feature, and whether it moves against ``direction``.
+def monotone_check_all(scored: DataFrame, directions: Mapping[str, int], weight: str) -> DataFrame:
+    """Mean prediction per level of each feature, and whether it moves against its direction.
 
-    Trees are fitted without constraints, so this reports where a wanted direction does not hold.
-    Many levels are binned as in the residual table, so the window below sees a bounded table.
+    All features are tabulated in one pass. Many levels are binned as in the residual table, so the
+    window of a feature below sees a bounded table. Direction 0 is never violated.
     """
-    table = residual_table(scored, feature, weight).groupBy("lo", "hi").agg(
+    wanted = scored.sparkSession.createDataFrame(list(directions.items()), "field string, direction int")
+    table = residual_tables(scored, list(directions), weight).groupBy("field", "lo", "hi").agg(
         F.sum("incurred_pred").alias("incurred_pred"), F.sum("denom").alias("denom")
     )
     level = F.col("incurred_pred").cast("double") / F.col("denom").cast("double")
-    before = F.lag("pred").over(Window.partitionBy().orderBy("lo"))
-    step = (F.col("pred") - before) * F.lit(direction)
-    return table.select("lo", "hi", level.alias("pred")).withColumn(
-        "violation", F.coalesce(step < 0, F.lit(False))
-    )
+    before = F.lag("pred").over(Window.partitionBy("field").orderBy("lo"))
+    levels = table.select("field", "lo", "hi", level.alias("pred")).join(F.broadcast(wanted), "field")
+    step = (F.col("pred") - before) * F.col("direction")
+    return levels.withColumn("violation", F.coalesce(step < 0, F.lit(False))).drop("direction")
+
+
+def monotone_check(scored: DataFrame, feature: str, weight: str, direction: int) -> DataFrame:
+    """``monotone_check_all`` of one feature."""
+    return monotone_check_all(scored, {feature: direction}, weight).drop("field")

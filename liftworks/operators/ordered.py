@@ -23,14 +23,16 @@ import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from liftworks.functions import missing_to_null
-from liftworks.sources import stage
+from liftworks.sources import release, stage
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 16_384
+WEIGHT_DIGITS = 10
 _SAMPLES_PER_RANGE = 16
 _RANGE = "__range"
 
@@ -38,11 +40,32 @@ _RANGE = "__range"
 # --- ranges -----------------------------------------------------------------------------------
 
 
+def _plain(column: str, dtype: T.DataType) -> Column:
+    """A value of the same order that JSON can carry: one literal then holds all bounds."""
+    col = F.col(column)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(col, "UTC"))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return col.cast("double")
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.BooleanType)):
+        return col.cast("int")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(col)
+    return col
+
+
 @dataclass(frozen=True)
 class Ranges:
-    """Contiguous ranges of a total order; range ``i`` starts at ``bounds[i - 1]``."""
+    """Contiguous ranges of a total order; range ``i`` starts at ``bounds[i - 1]``.
 
-    order: tuple[str, ...]
+    ``keys`` are the order columns' plain values, ``schema`` and ``bounds`` hold those.
+    """
+
+    keys: tuple[Column, ...]
     bounds: tuple[Row, ...]
     schema: T.StructType
 
@@ -50,22 +73,15 @@ class Ranges:
     def count(self) -> int:
         return len(self.bounds) + 1
 
-    def _bounds_array(self) -> Column:
-        plain = (T.DoubleType, T.LongType, T.IntegerType, T.StringType)
-        if all(isinstance(f.dataType, plain) for f in self.schema):
-            # one literal instead of a constructor call per bound
-            text = json.dumps([b.asDict() for b in self.bounds])
-            return F.from_json(F.lit(text), T.ArrayType(self.schema))
-        return F.array(
-            *[
-                F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in self.schema])
-                for b in self.bounds
-            ]
-        )
+    def _literal(self, bounds: Sequence[Row]) -> Column:
+        rows = [{k: str(v) if isinstance(v, Decimal) else v for k, v in b.asDict().items()} for b in bounds]
+        return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(self.schema))
+
+    def here(self) -> Column:
+        return F.struct(*[k.alias(n) for k, n in zip(self.keys, self.schema.names)])
 
     def start_of(self, number: int) -> Column:
-        row = self.bounds[number - 1]
-        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in self.schema])
+        return F.get(self._literal(self.bounds[number - 1 : number]), F.lit(0))
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the range id: a binary search, one projection per halving of the bounds.
@@ -76,7 +92,7 @@ class Ranges:
         df = df.withColumn(_RANGE, F.lit(0))
         if not self.bounds:
             return df
-        bounds, here = self._bounds_array(), F.struct(*self.order)
+        bounds, here = self._literal(self.bounds), self.here()
         step = 1 << (len(self.bounds).bit_length() - 1)
         while step:
             at = F.get(bounds, F.col(_RANGE) + F.lit(step - 1))
@@ -96,19 +112,20 @@ def split_ranges(
     The sample is a filter on a hash of the order columns, the same in every run; equal rows count
     once, so it stays near ``_SAMPLES_PER_RANGE`` rows per range.
     """
-    schema = T.StructType([df.schema[c] for c in order])
+    keys = tuple(_plain(c, df.schema[c].dataType) for c in order)
+    plain = df.select(*[k.alias(c) for k, c in zip(keys, order)])
     rows = df.count() if rows is None else rows
     wanted = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if wanted <= 1:
-        return Ranges(tuple(order), (), schema)
+        return Ranges(keys, (), plain.schema)
     slots = 1 << 40
     share = min(1.0, wanted * _SAMPLES_PER_RANGE / rows)
     drawn = F.pmod(F.xxhash64(*order), F.lit(slots)) < int(share * slots)
-    sample = df.select(*order).filter(drawn).distinct().orderBy(*order).collect()
+    sample = plain.filter(drawn).distinct().orderBy(*order).collect()
     if not sample:
-        return Ranges(tuple(order), (), schema)
+        return Ranges(keys, (), plain.schema)
     picked = [sample[len(sample) * i // wanted] for i in range(1, wanted)]
-    return Ranges(tuple(order), tuple(dict.fromkeys(picked)), schema)
+    return Ranges(keys, tuple(dict.fromkeys(picked)), plain.schema)
 
 
 # --- running totals ---------------------------------------------------------------------------
@@ -123,10 +140,11 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sum of each expression in ``sums``, per ``by`` group if given.
 
-    A group may be larger than a range: its earlier ranges are carried over like those of the
+    Missing values count as 0, so a total is never missing and doesn't depend on the ranges. A group may be larger than a range: its earlier ranges are carried over like those of the
     ungrouped order.
     """
     df = df.select("*", *[c.alias(f"__v_{n}") for n, c in sums.items()])
+    df = df.withColumns({f"__v_{n}": zero_if_missing(df, f"__v_{n}") for n in sums})
     ranges = split_ranges(df, [*by, *order], rows_per_range)
     placed = ranges.assign(df)
     window = (
@@ -170,6 +188,11 @@ def running_totals(
     )
 
 
+def zero_if_missing(df: DataFrame, column: str) -> Column:
+    dtype = df.schema[column].dataType
+    return F.coalesce(missing_to_null(F.col(column), dtype), F.lit(0).cast(dtype))
+
+
 # --- crossings --------------------------------------------------------------------------------
 
 
@@ -203,9 +226,15 @@ def crossings(
 ) -> Crossings:
     """Rows at which ``rule(running weight, total weight)`` steps up.
 
-    ``rule`` must not decrease along the order, so weights must not be negative.
+    ``rule`` must not decrease along the order, so weights must not be negative. Missing weights
+    count as 0. Fractional weights are summed as decimals of ``WEIGHT_DIGITS`` places, to which they
+    are rounded, so that a sum doesn't depend on the order of adding, hence not on the ranges.
     """
     df = df.select(*order, weight.alias("__w"))
+    df = df.withColumn("__w", zero_if_missing(df, "__w"))
+    schema = T.StructType([df.schema[c] for c in order])
+    if isinstance(df.schema["__w"].dataType, (T.DoubleType, T.FloatType)):
+        df = df.withColumn("__w", F.col("__w").cast(f"decimal(28,{WEIGHT_DIGITS})"))
     seen = df.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("__w").alias("total"), F.min("__w").alias("least")
     ).first()
@@ -240,7 +269,7 @@ def crossings(
         .collect()  # at most one row per level
     )
     base = df.sparkSession.range(1).select(level(F.lit(0))).first()[0]
-    return Crossings(base, tuple(sorted((f["level"], f["row"]) for f in found)), ranges.schema)
+    return Crossings(base, tuple(sorted((f["level"], f["row"]) for f in found)), schema)
 
 
 def _stepping_rows(placed: DataFrame, level: Callable[[Column], Column]) -> DataFrame:
@@ -294,9 +323,7 @@ def weighted_buckets(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> Column:
     """Weighted quantile bucket of each row along ``order``; missing weights count as zero."""
-    return crossings(
-        df, order, F.coalesce(weight, F.lit(0)), rule(bins), rows_per_range
-    ).level()
+    return crossings(df, order, weight, rule(bins), rows_per_range).level()
 
 
 # --- smallest rows ----------------------------------------------------------------------------
@@ -314,7 +341,7 @@ def smallest(
     ranges = split_ranges(df, order, max(2 * n, rows_per_range))
     rows = df
     if ranges.count > 1:
-        head = df.filter(F.struct(*order) < ranges.start_of(1))
+        head = df.filter(ranges.here() < ranges.start_of(1))
         if head.count() >= n:
             rows = head
     return rows.orderBy(*order).limit(n)
@@ -343,6 +370,7 @@ def quantiles(
     )
     n = counts.agg(F.sum("n")).first()[0]
     if not n:
+        release(counts)
         return [math.nan] * len(probabilities)
     spots = [(n - 1) * p for p in probabilities]
     ranks = sorted({r + 1 for s in spots for r in (math.floor(s), math.ceil(s))})
@@ -352,6 +380,7 @@ def quantiles(
         return F.size(F.filter(wanted, lambda rank: rank <= running))
 
     found = crossings(counts, ["v"], F.col("n"), rule, rows_per_range)
+    release(counts)
     value_at = {rank: found.at(i + 1)["v"] for i, rank in enumerate(ranks)}
     out = []
     for spot in spots:

@@ -23,17 +23,17 @@ def reshape_settings(
     veh_type: str,
     cov: str,
     position: str = "pos",
-    rows: int = 36,
+    rows: int | None = None,
 ) -> DataFrame:
     """Sheet with a row per category and a column per field, to a row per field.
 
-    Rows marked ``-`` and rows after the first ``rows`` are dropped, gaps are filled downwards, one
+    Rows marked ``-``, and rows after the first ``rows`` if given, are dropped, gaps are filled downwards, one
     vehicle type and coverage is kept, and each field gets its type from the catalog.
     """
     keys = [position, "veh_type", "cov", "category"]
     fields = [c for c in sheet.columns if c not in keys]
     marked = sheet.filter(F.col("veh_type").isNull() | (F.col("veh_type") != "-"))
-    cut = first_positions(marked, position, rows)
+    cut = marked if rows is None else first_positions(marked, position, rows)
     filled = fill_forward(cut, [c for c in sheet.columns if c != position], position)
     picked = filled.filter((F.col("veh_type") == veh_type) & (F.col("cov") == cov))
     long = picked.select("category", *fields).unpivot("category", fields, "field", "setting")
@@ -50,9 +50,11 @@ def blanked(settings: DataFrame) -> DataFrame:
     return settings.filter(F.col("mono") == BLANK).select("field", kind.alias("kind"))
 
 
-def option_settings(sheet: DataFrame, veh_type: str, catalog: DataFrame) -> DataFrame:
+def option_settings(
+    sheet: DataFrame, veh_type: str, catalog: DataFrame, type_column: str = "vc_Vehicle_Type_M"
+) -> DataFrame:
     """``(field, mono)`` of one vehicle type, for fields the data has."""
-    picked = sheet.filter(F.col("vc_Vehicle_Type_M") == veh_type).select("field", "mono")
+    picked = sheet.filter(F.col(type_column) == veh_type).select("field", "mono")
     return semi_filter(picked, catalog.select(F.col("column_name").alias("field")), "field")
 
 

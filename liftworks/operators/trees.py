@@ -1,7 +1,6 @@
 """Fitted regression trees as small arrays, evaluated batch-wise inside Spark tasks.
 
-A tree has some dozen nodes. Scores and leaf numbers of single trees are native column
-expressions; scores of an ensemble and contributions run over Arrow batches.
+A tree has some dozen nodes. Scores and contributions run over Arrow batches.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, functions as F
 
 
 @dataclass(frozen=True)
@@ -28,52 +26,6 @@ class Node:
 class Tree:
     nodes: tuple[Node, ...]
 
-    def _walk(self, features: Sequence[str], at: int, leaf) -> Column:
-        node = self.nodes[at]
-        if node.feature < 0:
-            return F.lit(leaf(at))
-        below = F.col(features[node.feature]) <= F.lit(node.threshold)
-        return F.when(below, self._walk(features, node.left, leaf)).otherwise(
-            self._walk(features, node.right, leaf)
-        )
-
-    def leaf_column(self, features: Sequence[str]) -> Column:
-        return self._walk(features, 0, lambda at: at)
-
-    def value_column(self, features: Sequence[str]) -> Column:
-        return self._walk(features, 0, lambda at: float(self.nodes[at].value))
-
-    def with_leaves(self, values: dict[int, float], covers: dict[int, float]) -> Tree:
-        """The same splits with new leaf values, and covers summed up from the leaves."""
-        cover = [covers.get(i, 0.0) for i in range(len(self.nodes))]
-        for i in reversed(range(len(self.nodes))):  # children follow their parent
-            node = self.nodes[i]
-            if node.feature >= 0:
-                cover[i] = cover[node.left] + cover[node.right]
-        return Tree(
-            tuple(
-                Node(n.feature, n.threshold, n.left, n.right, values.get(i, 0.0), cover[i])
-                for i, n in enumerate(self.nodes)
-            )
-        )
-
-
-def from_mllib(model) -> Tree:
-    """Arrays of a fitted MLlib regression tree, parents before children."""
-    nodes: list[Node] = []
-
-    def add(node) -> int:
-        at = len(nodes)
-        nodes.append(Node(-1, 0.0, -1, -1, 0.0, 0.0))
-        if node.numDescendants():
-            split = node.split()
-            left, right = add(node.leftChild()), add(node.rightChild())
-            nodes[at] = Node(split.featureIndex(), split.threshold(), left, right, 0.0, 0.0)
-        return at
-
-    add(model._call_java("rootNode"))
-    return Tree(tuple(nodes))
-
 
 def predict(tree: Tree, x: np.ndarray) -> np.ndarray:
     """Leaf values of a batch of rows."""
@@ -117,35 +69,157 @@ def _paths(tree: Tree) -> list[_Path]:
     return out
 
 
-def contributions(tree: Tree, x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Shapley values of a batch on the tree's path-dependent game, and the expected value.
+@dataclass(frozen=True)
+class _Leaf:
+    """Shapley values of a leaf's game, tabulated by which features of its path let a row pass."""
+
+    used: np.ndarray
+    above: np.ndarray
+    upto: np.ndarray
+    table: np.ndarray  # row: bit mask of passed features, column: place in ``used``
+    expected: float
+
+
+def leaf_tables(tree: Tree) -> list[_Leaf]:
+    """A table per leaf.
 
     A leaf's game is a product over the features of its path: 0/1 whether the row passes if the
     feature is known, the cover share if not. Its Shapley value needs the sizes of coalitions
-    only, which are the coefficients of a product of first-degree polynomials.
+    only, which are the coefficients of a product of first-degree polynomials; and it depends on
+    the row through the passed features alone, at most 2**depth cases.
     """
-    phi, base = np.zeros(x.shape), 0.0
+    out = []
     for path in _paths(tree):
-        used = list(path.bounds)
-        base += path.value * math.prod(path.bounds[f][2] for f in used)
-        passes = {
-            f: ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-            for f, (lo, hi, _) in path.bounds.items()
-        }
-        k = len(used)
+        used, k = list(path.bounds), len(path.bounds)
+        shares = [path.bounds[f][2] for f in used]
+        masks = np.arange(1 << k)
+        passes = [(masks >> i & 1).astype(float) for i in range(k)]
         weights = [
             math.factorial(s) * math.factorial(k - 1 - s) / math.factorial(k) for s in range(k)
         ]
-        for f in used:
-            sizes = [np.ones(len(x))]
-            for other in used:
-                if other == f:
+        table = np.zeros((1 << k, k))
+        for i in range(k):
+            sizes = [np.ones(len(masks))]
+            for j in range(k):
+                if j == i:
                     continue
-                out, in_ = path.bounds[other][2], passes[other]
-                grown = [c * out for c in sizes] + [np.zeros(len(x))]
+                grown = [c * shares[j] for c in sizes] + [np.zeros(len(masks))]
                 for s, c in enumerate(sizes):
-                    grown[s + 1] = grown[s + 1] + c * in_
+                    grown[s + 1] = grown[s + 1] + c * passes[j]
                 sizes = grown
             reach = sum(w * c for w, c in zip(weights, sizes))
-            phi[:, f] += path.value * (passes[f] - path.bounds[f][2]) * reach
-    return phi, base
+            table[:, i] = path.value * (passes[i] - shares[i]) * reach
+        bounds = np.array([path.bounds[f][:2] for f in used]).reshape(k, 2)
+        out.append(
+            _Leaf(np.array(used, dtype=int), bounds[:, 0], bounds[:, 1], table, path.value * math.prod(shares))
+        )
+    return out
+
+
+def add_contributions(leaves: Sequence[_Leaf], x: np.ndarray, phi: np.ndarray) -> float:
+    """Add a tree's Shapley values of a batch to ``phi``; gives the expected value."""
+    for leaf in leaves:
+        inside = x[:, leaf.used]
+        passed = (inside > leaf.above) & (inside <= leaf.upto)
+        mask = passed @ (1 << np.arange(len(leaf.used)))
+        phi[:, leaf.used] += leaf.table[mask]
+    return sum(leaf.expected for leaf in leaves)
+
+
+def contributions(tree: Tree, x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Shapley values of a batch on the tree's path-dependent game, and the expected value."""
+    phi = np.zeros(x.shape)
+    return phi, add_contributions(leaf_tables(tree), x, phi)
+
+
+# --- growing ----------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Penalty:
+    """What a split must satisfy and how leaves shrink."""
+
+    alpha: float = 0.0
+    ridge: float = 1.0
+    min_child_weight: float = 0.0
+    monotone: tuple[int, ...] = ()
+
+    def step(self, g, h):
+        return -np.sign(g) * np.maximum(np.abs(g) - self.alpha, 0.0) / np.maximum(h + self.ridge, 1e-300)
+
+    def worth(self, g, h):
+        return np.maximum(np.abs(g) - self.alpha, 0.0) ** 2 / np.maximum(h + self.ridge, 1e-300)
+
+
+class Grower:
+    """A tree that grows level by level from histograms of gradients over binned features."""
+
+    def __init__(self, cuts: Sequence[np.ndarray], used: Sequence[int], penalty: Penalty):
+        self.cuts, self.used, self.penalty = cuts, list(used), penalty
+        self.feature, self.bin, self.left, self.right = [-1], [0], [-1], [-1]
+        self.sums, self.bounds = [(0.0, 0.0)], [(-math.inf, math.inf)]
+        self.open = [0]
+
+    def place(self, bins: np.ndarray) -> np.ndarray:
+        """Node of each row; a row goes left if its bin is at most the node's."""
+        at = np.zeros(len(bins), dtype=np.int64)
+        feature, cut, left, right = map(np.array, (self.feature, self.bin, self.left, self.right))
+        rows = np.arange(len(bins))
+        while (inner := feature[at] >= 0).any():
+            go = rows[inner]
+            below = bins[go, feature[at[go]]] <= cut[at[go]]
+            at[go] = np.where(below, left[at[go]], right[at[go]])
+        return at
+
+    def grow(self, g: np.ndarray, h: np.ndarray) -> None:
+        """Split the open nodes by their histograms (open node, feature, bin)."""
+        following, p = [], self.penalty
+        for k, node in enumerate(self.open):
+            total = (g[k, 0].sum(), h[k, 0].sum())
+            self.sums[node] = (float(total[0]), float(total[1]))
+            gl, hl = np.cumsum(g[k], axis=1), np.cumsum(h[k], axis=1)
+            gr, hr = total[0] - gl, total[1] - hl
+            gain = p.worth(gl, hl) + p.worth(gr, hr) - p.worth(*total)
+            low, high = self.bounds[node]
+            steps = [np.clip(p.step(a, b), low, high) for a, b in ((gl, hl), (gr, hr))]
+            fits = (hl >= max(p.min_child_weight, 1e-12)) & (hr >= max(p.min_child_weight, 1e-12))
+            for f in range(g.shape[1]):
+                fits[f, len(self.cuts[f]) :] = False
+                if f not in self.used:
+                    fits[f] = False
+                elif p.monotone and p.monotone[f]:
+                    fits[f] &= p.monotone[f] * (steps[1][f] - steps[0][f]) >= 0
+            gain = np.where(fits, gain, -np.inf)
+            best = gain.max(initial=-np.inf)
+            if not best > 1e-9 * (1.0 + abs(p.worth(*total))):
+                continue
+            # equal gains up to rounding: the first feature and bin
+            f, cut = map(int, np.argwhere(gain >= best - 1e-9 * abs(best))[0])
+            children = []
+            middle = (steps[0][f, cut] + steps[1][f, cut]) / 2
+            turn = p.monotone[f] if p.monotone else 0
+            spans = {
+                0: ((low, high), (low, high)),
+                1: ((low, middle), (middle, high)),
+                -1: ((middle, high), (low, middle)),
+            }[turn]
+            for span, sums in zip(spans, ((gl[f, cut], hl[f, cut]), (gr[f, cut], hr[f, cut]))):
+                children.append(len(self.feature))
+                self.feature.append(-1)
+                self.bin.append(0)
+                self.left.append(-1)
+                self.right.append(-1)
+                self.bounds.append(span)
+                self.sums.append((float(sums[0]), float(sums[1])))
+            self.feature[node], self.bin[node] = f, cut
+            self.left[node], self.right[node] = children
+            following += children
+        self.open = following
+
+    def tree(self, rate: float) -> Tree:
+        nodes = []
+        for i, f in enumerate(self.feature):
+            value = float(np.clip(self.penalty.step(*self.sums[i]), *self.bounds[i])) if f < 0 else 0.0
+            threshold = float(self.cuts[f][self.bin[i]]) if f >= 0 else 0.0
+            nodes.append(Node(f, threshold, self.left[i], self.right[i], rate * value, self.sums[i][1]))
+        return Tree(tuple(nodes))

@@ -24,6 +24,7 @@ class Config:
     join_type: str = "inner"
     debug_level: int = 0
     test_fold: int = 6
+    # Training folds of each debug level.
     fold_mapping: Mapping[int, Sequence[int]] = field(
         default_factory=lambda: {1: (1,), 2: (1, 2), 3: (1, 2, 3, 4, 5), 0: (1, 2, 3, 4, 5)}
     )
@@ -33,8 +34,10 @@ class Config:
     model: Mapping[str, object] = field(default_factory=lambda: {"method": "boost"})
     stages: Mapping[str, bool] = field(default_factory=dict)
     stop_on_error: bool = True
-    top_features: int = 10
-    explain_sample: int = 10_000
+    top_features: int | None = None  # all
+    explain_fraction: float = 1.0
+    excluded: Sequence[str] = ()
+    blanked: Sequence[str] = ()
     strict: bool = False
 
     @property
@@ -59,8 +62,34 @@ _MODEL_OPTIONS = {
     "n_estimators": "rounds",
     "num_round": "rounds",
     "random_state": "seed",
+    "reg_alpha": "alpha",
+    "lambda": "ridge",
+    "reg_lambda": "ridge",
+    "max_bin": "max_bins",
 }
 
+# Options that choose an engine or its messages, which have no counterpart here.
+_ENGINE_OPTIONS = {"objective", "eval_metric", "tree_method", "device", "verbosity", "nthread", "n_jobs"}
+
+# Keys of each section.
+_KEYS = {
+    "experiment": {"name", "target", "exposure", "description", "coverage", "version"},
+    "debug": {"level", "test_fold", "fold_mapping", "train_folds", "enabled"},
+    "data": {"master_file", "aux_file", "join_key", "fold_column", "join_type", "columns_to_load_file"},
+    "features": {"inclusion_file", "exclusion_file", "blank_file"},
+    "execution": {"stages", "stop_on_error", "cleanup_memory"},
+}
+
+
+def _refuse_unknown(raw: dict) -> None:
+    unknown = [
+        f"{section}.{k}" for section, keys in _KEYS.items() for k in set(raw.get(section) or {}) - keys
+    ]
+    options = set(raw.get("xgboost") or {}) - set(_MODEL_OPTIONS) - _ENGINE_OPTIONS
+    unknown += [f"xgboost.{k}" for k in options]
+    if unknown:
+        raise ValueError(f"unknown settings: {sorted(unknown)}")
+
 
 def _parse(path: Path) -> dict:
     text = path.read_text()
@@ -83,12 +112,18 @@ def load_config(path: str) -> Config:
     """Configuration from a YAML or JSON file; sheets it names are looked up beside it."""
     file = Path(path)
     raw = _parse(file)
+    _refuse_unknown(raw)
     exp, data, debug = raw["experiment"], raw["data"], raw.get("debug", {})
     execution, root = raw.get("execution", {}), raw["paths"].get("data_root", "")
 
     def sheet(name: str | None) -> list[str] | None:
-        return _column_list(file.parent / name) if name and (file.parent / name).exists() else None
+        if not name:
+            return None
+        if not (file.parent / name).exists():
+            raise ValueError(f"{name} is not beside {file.name}")
+        return _column_list(file.parent / name)
 
+    conversions = file.parent / "type_conversions.csv"
     model = {"method": "boost"} | {
         _MODEL_OPTIONS[k]: v for k, v in raw.get("xgboost", {}).items() if k in _MODEL_OPTIONS
     }
@@ -109,7 +144,9 @@ def load_config(path: str) -> Config:
         test_fold=debug.get("test_fold", 6),
         columns_to_load=sheet(data.get("columns_to_load_file")),
         features=sheet(raw.get("features", {}).get("inclusion_file")) or (),
-        conversions=sheet("type_conversions.csv") or (),
+        conversions=sheet(conversions.name if conversions.exists() else None) or (),
+        excluded=sheet((raw.get("features") or {}).get("exclusion_file")) or (),
+        blanked=sheet((raw.get("features") or {}).get("blank_file")) or (),
         model=model,
         stages=execution.get("stages", {}),
         stop_on_error=execution.get("stop_on_error", True),

@@ -6,6 +6,7 @@ from liftworks.plans.registry import (  # noqa: F401
     explanation,
     modelling,
     preparation,
+    roundtrips,
     runs,
 )
 from liftworks.plans.registry.core import ORACLES, QUERIES  # noqa: F401

@@ -241,5 +241,5 @@ def encode_unseen(spark, sf_dir):
     """Fitted without pending orders: their status encodes to all zeros."""
     df = b.features(spark, sf_dir).select("o_orderkey", "o_orderstatus")
     train = df.filter(F.col("o_orderstatus") != "P")
-    state = enc.fit_encoder(train, "ordinal", exclude=["o_orderkey"])
+    state = enc.fit_encoder(train, "ordinal", exclude=["o_orderkey"], on_wide="drop")
     return tidy(state.transform(df, keep=["o_orderkey"]))

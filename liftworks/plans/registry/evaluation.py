@@ -214,6 +214,64 @@ def gini_rows(spark, sf_dir):
     return tidy(ev.gini(df, "incurred_act", "pred", ["o_orderkey"]))
 
 
+_GAPS_SQL = """
+gaps AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN incurred_act ELSE 0 END AS incurred_act,
+         CASE WHEN o_orderkey % 7 <> 0 THEN pred ELSE 1000000000 END AS pred
+  FROM policy)"""
+
+
+def _gaps(spark, sf_dir):
+    """Actuals and predictions with gaps: a missing actual counts as 0, a missing score is last."""
+    df = _policy(spark, sf_dir, columns=("o_orderkey", "incurred_act", "pred"))
+    act = F.when(F.col("o_orderkey") % 5 != 0, F.col("incurred_act"))
+    pred = F.when(F.col("o_orderkey") % 7 != 0, F.col("pred").cast("double"))
+    return df.withColumns({"incurred_act": act, "pred": pred})
+
+
+@query(
+    "gini_missing",
+    with_views(POLICY_SQL, _GAPS_SQL, _curve_sql("gaps", "incurred_act", "pred, o_orderkey"))
+    + f" SELECT CAST(max(n) AS BIGINT) AS n, {r6(_GINI)} AS gini FROM curve",
+)
+def gini_missing(spark, sf_dir):
+    return tidy(ev.gini(_gaps(spark, sf_dir), "incurred_act", "pred", ["o_orderkey"], rows_per_range=500))
+
+
+@query(
+    "lorenz_missing",
+    with_views(POLICY_SQL, _GAPS_SQL, _curve_sql("gaps", "incurred_act", "pred, o_orderkey"))
+    + f"""
+SELECT CAST(rn AS BIGINT) AS position, {r6('CAST(rn AS DOUBLE) / n')} AS population_share,
+       {r6('c')} AS actual_share FROM curve
+UNION ALL SELECT CAST(0 AS BIGINT), 0.0::DOUBLE, 0.0::DOUBLE""",
+)
+def lorenz_missing(spark, sf_dir):
+    return tidy(ev.lorenz(_gaps(spark, sf_dir), "incurred_act", "pred", ["o_orderkey"], rows_per_range=500))
+
+
+def _tenths(spark, sf_dir):
+    """Weights in tenths and a decimal score."""
+    df = _policy(spark, sf_dir, columns=_FACTS)
+    return df.withColumns(
+        {"tenths": F.col("exposure") * 0.1, "pred": F.col("pred").cast("decimal(18,2)")}
+    )
+
+
+@query(
+    "lift_fractional",
+    with_views(POLICY_SQL, _buckets_sql("policy", "ceil"))
+    + f"""
+SELECT decile, {r6("CAST(sum(exposure) AS DOUBLE) / 10.0")} AS tenths,
+       {r6("CAST(sum(incurred_act) AS DOUBLE) / CAST(sum(denom) AS DOUBLE)")} AS act,
+       {r6("CAST(sum(incurred_pred) AS DOUBLE) / CAST(sum(denom) AS DOUBLE)")} AS pred
+FROM bucketed GROUP BY decile""",
+)
+def lift_fractional(spark, sf_dir):
+    out = ev.lift(_tenths(spark, sf_dir), "tenths", "o_orderkey", rows_per_range=500)
+    return tidy(out.select("decile", "tenths", "act", "pred"))
+
+
 @query(
     "gini_deciles",
     with_views(
@@ -324,6 +382,41 @@ def residual_qcut(spark, sf_dir):
     return _residual(spark, sf_dir, "cont")
 
 
+@query(
+    "residual_all",
+    with_views(
+        POLICY_SQL,
+        f"""
+raw AS (
+  SELECT 'cont' AS field, cont AS raw, sum(exposure) AS exposure, sum(incurred_act) AS incurred_act,
+         sum(incurred_pred) AS incurred_pred, sum(denom) AS denom FROM policy GROUP BY cont
+  UNION ALL
+  SELECT 'half', floor(cont / 2), sum(exposure), sum(incurred_act), sum(incurred_pred), sum(denom)
+  FROM policy GROUP BY floor(cont / 2)),
+lev AS (SELECT * REPLACE (round_even(raw * 100.0, 0) / 100.0 AS raw) FROM raw),
+edges AS (
+  SELECT field, unnest(list_distinct(quantile_cont(raw, [{_QS}]))) AS edge FROM lev GROUP BY field),
+inner_edges AS (
+  SELECT field, edge FROM edges QUALIFY edge > min(edge) OVER (PARTITION BY field)
+    AND edge < max(edge) OVER (PARTITION BY field)),
+binned AS (
+  SELECT lev.*, (SELECT count(*) FROM inner_edges e WHERE e.field = lev.field AND raw > edge) AS bin FROM lev),
+res AS (SELECT field, bin, min(raw) AS lo, max(raw) AS hi, {_RESIDUAL_SUMS} FROM binned GROUP BY field, bin
+  UNION ALL
+  SELECT 'lvl_a', 0, CAST(o_orderkey % 6 AS DOUBLE), CAST(o_orderkey % 6 AS DOUBLE), {_RESIDUAL_SUMS}
+  FROM policy GROUP BY o_orderkey % 6)""",
+    )
+    + _RESIDUAL_OUT.replace("SELECT", "SELECT field,", 1)
+    + " FROM res",
+)
+def residual_all(spark, sf_dir):
+    """Features with few and with many levels in one pass."""
+    levels = {"lvl_a": F.col("o_orderkey") % 6, "half": F.floor(F.col("cont") / 2)}
+    df = b.policy(spark, sf_dir).withColumns(levels).select("lvl_a", "half", "cont", *_FACTS)
+    out = ev.residual_tables(df, ["lvl_a", "half", "cont"], "exposure")
+    return tidy(out.select("field", "lo", "hi", "exposure", "act", "pred"))
+
+
 @query(
     "weight_share",
     with_views(POLICY_SQL)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from liftworks.functions import one_hot
 from liftworks.operators import condition as con
@@ -134,29 +134,164 @@ def contrib_stump(spark, sf_dir):
     return tidy(model.contributions(rated, "o_orderkey", "exposure"))
 
 
-_TREE_FEATURES = ("lvl_a", "lvl_b", "flag", "cont")
-_TREES = {"method": "boost", "rounds": 5, "max_depth": 3, "learning_rate": 0.2, "alpha": 0.25}
+# --- trees of depth 2 on two 0/1 features: four cells, each with its own Newton step ------------
+
+_PAIR = ("flag", "high")
+_PAIR_OPTIONS = {"method": "boost", "rounds": 5, "max_depth": 2, "learning_rate": 0.2, "alpha": 0.25}
+_PAIRED_SQL = """
+paired AS (
+  SELECT *, CAST(flag AS INTEGER) AS a, CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS b FROM rated)"""
+
+
+def _shrunk(g: str) -> str:
+    return f"greatest(abs({g}) - 0.25, 0.0)"
+
+
+def _cell_rounds_sql(rounds: int) -> str:
+    """Per round and cell: sums, leaf, and Shapley values of the tree, whose root is the feature of
+    higher gain."""
+    views = [
+        """
+m0 AS (
+  SELECT a, b, (SELECT ln(sum(exposure * target) / sum(exposure)) FROM paired WHERE fold <= 5) AS f,
+         0.0::DOUBLE AS pa, 0.0::DOUBLE AS pb, 0.0::DOUBLE AS e
+  FROM (SELECT DISTINCT a, b FROM paired))"""
+    ]
+    for i in range(1, rounds + 1):
+        gains = {
+            k: f"(SELECT sum({_shrunk('g')} ** 2 / (h + 1.0)) FROM (SELECT {k}, sum(g) AS g, sum(h) AS h FROM s{i} GROUP BY {k}))"
+            for k in "ab"
+        }
+        views.append(
+            f"""
+s{i} AS (
+  SELECT a, b, sum(exposure * (exp(0.5 * f) - target * exp(-0.5 * f))) AS g,
+         sum(exposure * (0.5 * exp(0.5 * f) + 0.5 * target * exp(-0.5 * f))) AS h
+  FROM paired JOIN m{i - 1} USING (a, b) WHERE fold <= 5 GROUP BY a, b),
+l{i} AS (SELECT a, b, h, -0.2::DOUBLE * sign(g) * {_shrunk('g')} / (h + 1.0) AS leaf FROM s{i}),
+r{i} AS (SELECT {gains['a']} >= {gains['b']} AS a_first, sum(h) AS h, sum(h * leaf) / sum(h) AS e FROM l{i}),
+v{i} AS (
+  SELECT x.a, x.b, x.leaf, r.e,
+         CASE WHEN r.a_first
+              THEN (SELECT sum(y.h * y.leaf) / sum(y.h) FROM l{i} y WHERE y.a = x.a)
+              ELSE (SELECT sum(y.leaf * (SELECT sum(z.h) FROM l{i} z WHERE z.b = y.b)) FROM l{i} y WHERE y.a = x.a) / r.h
+         END AS va,
+         CASE WHEN r.a_first
+              THEN (SELECT sum(y.leaf * (SELECT sum(z.h) FROM l{i} z WHERE z.a = y.a)) FROM l{i} y WHERE y.b = x.b) / r.h
+              ELSE (SELECT sum(y.h * y.leaf) / sum(y.h) FROM l{i} y WHERE y.b = x.b)
+         END AS vb
+  FROM l{i} x CROSS JOIN r{i} r),
+m{i} AS (
+  SELECT a, b, f + v.leaf AS f, pa + (v.va - v.e + v.leaf - v.vb) / 2 AS pa,
+         pb + (v.vb - v.e + v.leaf - v.va) / 2 AS pb, m.e + v.e AS e
+  FROM m{i - 1} m JOIN v{i} v USING (a, b))"""
+        )
+    return ",".join(views)
+
+
+_CELLS_SQL = with_views(FEATURES_SQL, POLICY_SQL, _RATED_SQL, _PAIRED_SQL, _cell_rounds_sql(5))
 
 
 def _boosted(spark, sf_dir):
-    rated = _rated(spark, sf_dir)
-    return rated, md.fit_tweedie(
-        rated.filter("fold <= 5"), _TREE_FEATURES, "target", "exposure", **_TREES
-    )
+    rated = _rated(spark, sf_dir).withColumn("high", (F.col("o_orderpriority") == "2-HIGH").cast("int"))
+    return rated, md.fit_tweedie(rated.filter("fold <= 5"), _PAIR, "target", "exposure", **_PAIR_OPTIONS)
 
 
-@query("tweedie_boost_score")
+@query(
+    "tweedie_boost_score",
+    _CELLS_SQL + f" SELECT o_orderkey, {_r('exp(f)', 4)} AS pred FROM paired JOIN m5 USING (a, b)",
+)
 def tweedie_boost_score(spark, sf_dir):
     rated, model = _boosted(spark, sf_dir)
-    return tidy(md.score(model, rated).select("o_orderkey", "pred"))
+    return tidy(md.score(model, rated).select("o_orderkey", "pred"), 4)
 
 
-@query("contrib_tree")
+@query(
+    "contrib_tree",
+    _CELLS_SQL
+    + f"""
+SELECT o_orderkey, {_r('pa', 6)} AS flag, {_r('pb', 6)} AS high,
+       {_r('e + (SELECT ln(sum(exposure * target) / sum(exposure)) FROM paired WHERE fold <= 5)', 6)} AS base_value,
+       CAST(exposure AS DOUBLE) AS weight
+FROM paired JOIN m5 USING (a, b)""",
+)
 def contrib_tree(spark, sf_dir):
     rated, model = _boosted(spark, sf_dir)
     return tidy(model.contributions(rated, "o_orderkey", "exposure"))
 
 
+_TREE_FEATURES = ("lvl_a", "lvl_b", "flag", "cont")
+
+
+@query(
+    "tweedie_boost_additive",
+    with_views(FEATURES_SQL, POLICY_SQL, _RATED_SQL)
+    + " SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS off, CAST(0 AS BIGINT) AS thin FROM rated",
+)
+def tweedie_boost_additive(spark, sf_dir):
+    """Deeper trees on all features: rows whose contributions don't add up to the margin, and nodes
+    lighter than allowed."""
+    rated = _rated(spark, sf_dir)
+    model = md.fit_tweedie(
+        rated.filter("fold <= 5"), _TREE_FEATURES, "target", "exposure",
+        method="boost", rounds=3, max_depth=3, learning_rate=0.2, min_child_weight=500.0,
+    )
+    both = model.contributions(rated, "o_orderkey").join(md.score(model, rated).select("o_orderkey", "pred"), "o_orderkey")
+    total = sum((F.col(c) for c in _TREE_FEATURES), F.col("base_value"))
+    thin = sum(n.cover < 500.0 for t in model.trees for n in t.nodes)
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(total - F.log("pred")) > 1e-9).alias("off"),
+        F.lit(thin).cast("long").alias("thin"),
+    )
+
+
+@query(
+    "tweedie_boost_min_child",
+    with_views(FEATURES_SQL, POLICY_SQL, _RATED_SQL)
+    + f"""
+SELECT o_orderkey, (SELECT {_r('m + 0.5 * -sign(g) * greatest(abs(g) - 0.25, 0.0) / (h + 1.0)', 6)} FROM (
+  SELECT m, sum(exposure * (exp(0.5 * m) - target * exp(-0.5 * m))) AS g,
+         sum(exposure * (0.5 * exp(0.5 * m) + 0.5 * target * exp(-0.5 * m))) AS h
+  FROM rated, (SELECT ln(sum(exposure * target) / sum(exposure)) AS m FROM rated) GROUP BY m)) AS margin
+FROM rated""",
+)
+def tweedie_boost_min_child(spark, sf_dir):
+    """A child weight above the total curvature: the tree is a single leaf."""
+    rated = _rated(spark, sf_dir)
+    model = md.fit_tweedie(
+        rated, _TREE_FEATURES, "target", "exposure", method="boost", rounds=1, max_depth=3,
+        learning_rate=0.5, alpha=0.25, min_child_weight=1e15,
+    )
+    return tidy(md.score(model, rated).select("o_orderkey", F.log("pred").alias("margin")))
+
+
+@query(
+    "tweedie_boost_monotone",
+    "SELECT d AS direction, CAST(6 AS BIGINT) AS levels, CAST(0 AS BIGINT) AS violations FROM (VALUES (-1), (1)) t(d) "
+    "WHERE (SELECT count(DISTINCT o_orderkey % 6) FROM orders) = 6",
+)
+def tweedie_boost_monotone(spark, sf_dir):
+    """Fits bound to a direction in one feature: levels whose score moves the other way, at equal
+    values of the other features."""
+    rated = _rated(spark, sf_dir)
+    out = None
+    for direction in (-1, 1):
+        model = md.fit_tweedie(
+            rated, ("lvl_a", "flag"), "target", "exposure", method="boost", rounds=4, max_depth=3,
+            learning_rate=0.3, monotone=[direction, 0],
+        )
+        levels = md.score(model, rated.select("lvl_a", "flag").distinct())
+        window = Window.partitionBy("flag").orderBy("lvl_a")  # six levels
+        step = (F.col("pred") - F.lag("pred").over(window)) * direction
+        row = levels.withColumn("wrong", F.coalesce(step < -1e-12, F.lit(False))).agg(
+            F.lit(direction).alias("direction"), F.count_distinct("lvl_a").alias("levels"),
+            F.count_if("wrong").alias("violations"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "monotone_check",
     with_views(
@@ -174,3 +309,29 @@ FROM lev""",
 def monotone_check(spark, sf_dir):
     scored = b.policy(spark, sf_dir).withColumn("lvl_a", F.col("o_orderkey") % 6)
     return tidy(md.monotone_check(scored, "lvl_a", "exposure", 1))
+
+
+@query(
+    "monotone_check_all",
+    with_views(
+        POLICY_SQL,
+        " UNION ALL ".join([
+            """
+lev AS (
+  SELECT 'lvl_a' AS field, CAST(o_orderkey % 6 AS DOUBLE) AS lo, 1 AS d,
+         CAST(sum(incurred_pred) AS DOUBLE) / CAST(sum(denom) AS DOUBLE) AS p
+  FROM policy GROUP BY o_orderkey % 6""",
+            """
+  SELECT 'lvl_c', CAST(o_orderkey % 4 AS DOUBLE), -1, CAST(sum(incurred_pred) AS DOUBLE) / CAST(sum(denom) AS DOUBLE)
+  FROM policy GROUP BY o_orderkey % 4)""",
+        ]),
+    )
+    + f"""
+SELECT field, lo, lo AS hi, {_r('p', 6)} AS pred,
+       coalesce((p - lag(p) OVER (PARTITION BY field ORDER BY lo)) * d < 0, false) AS violation
+FROM lev""",
+)
+def monotone_check_all(spark, sf_dir):
+    levels = {"lvl_a": F.col("o_orderkey") % 6, "lvl_c": F.col("o_orderkey") % 4}
+    scored = b.policy(spark, sf_dir).withColumns(levels)
+    return tidy(md.monotone_check_all(scored, {"lvl_a": 1, "lvl_c": -1}, "exposure"))

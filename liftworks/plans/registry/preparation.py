@@ -106,7 +106,7 @@ def load_reduction(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("disc_n").cast("decimal(18,2)")).alias("disc_n")
     )
     out = cat.load_reduction(catalog, plan)
-    return tidy(out.withColumns({c: seen.select(c).scalar() for c in seen.columns}))
+    return tidy(out.crossJoin(F.broadcast(seen)))  # one row each
 
 
 @query(
@@ -229,19 +229,20 @@ UNION ALL SELECT 'fold', 'test', count(*), CAST(sum(exposure) AS BIGINT) FROM po
 )
 def train_test_split(spark, sf_dir):
     df = b.policy(spark, sf_dir)
-    parts = {
-        "flag": asm.split(df, F.col("train")),
-        "fold": asm.split_by_fold(df, [1, 2], 6),
+    conditions = {
+        ("flag", "train"): F.col("train"),
+        ("flag", "test"): ~F.col("train"),
+        ("fold", "train"): F.col("fold").isin(1, 2),
+        ("fold", "test"): F.col("fold") == 6,
     }
-    out = None
-    for kind, pair in parts.items():
-        for part, rows in zip(("train", "test"), pair):
-            sums = rows.agg(
-                F.lit(kind).alias("kind"), F.lit(part).alias("part"),
-                F.count(F.lit(1)).alias("rows"), F.sum("exposure").alias("exposure"),
-            )
-            out = sums if out is None else out.unionByName(sums)
-    return out
+    sums = {  # one pass for all parts
+        k: F.struct(
+            F.lit(k[0]).alias("kind"), F.lit(k[1]).alias("part"), F.count_if(c).alias("rows"),
+            F.sum(F.when(c, F.col("exposure"))).alias("exposure"),
+        )
+        for k, c in conditions.items()
+    }
+    return df.agg(F.array(*sums.values()).alias("parts")).select(F.inline("parts"))
 
 
 @query(
@@ -253,14 +254,23 @@ def first_rows(spark, sf_dir):
     return asm.first_rows(orders, "o_orderkey", 1000)
 
 
-@query("hash_sample")
+_DRAW = "md5('42:' || CAST(o_orderkey AS VARCHAR))"
+
+
+@query(
+    "hash_sample",
+    with_views(POLICY_SQL) + f" SELECT * FROM policy WHERE substr({_DRAW}, 1, 10) < '{round(0.2 * 2**40):010x}'",
+)
 def hash_sample(spark, sf_dir):
-    return asm.hash_sample(b.policy(spark, sf_dir), "o_orderkey", 0.20)
+    return tidy(asm.hash_sample(b.policy(spark, sf_dir), "o_orderkey", 0.20))
 
 
-@query("fixed_sample")
+@query(
+    "fixed_sample",
+    with_views(POLICY_SQL) + f" SELECT * FROM policy ORDER BY {_DRAW}, o_orderkey LIMIT 10000",
+)
 def fixed_sample(spark, sf_dir):
-    return asm.fixed_sample(b.policy(spark, sf_dir), "o_orderkey", 10_000)
+    return tidy(asm.fixed_sample(b.policy(spark, sf_dir), "o_orderkey", 10_000))
 
 
 @query(

@@ -31,10 +31,14 @@ def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
 
 
 def _features(cfg: Config, df: DataFrame) -> list[str]:
+    """Listed columns the data has (all numeric ones without a list), less the excluded ones."""
     listed = cat.included(df.columns, cfg.features or None)
-    numeric = cat.numeric_columns(df, {cfg.key, cfg.fold, cfg.target, *cat.TARGETS})
+    fixed = {cfg.key, cfg.fold, cfg.target, *cat.TARGETS, *cfg.excluded}
+    numeric = set(cat.numeric_columns(df, fixed))
     taken = {cfg.exposure, "ee", "ee_imps", "weight"}
-    return [c for c in listed if c in set(numeric) and (cfg.features or c not in taken)]
+    if cfg.features and (text := [c for c in listed if c not in numeric and c not in fixed]):
+        raise ValueError(f"listed features that are not numeric: {text}; convert or encode them")
+    return [c for c in listed if c in numeric and (cfg.features or c not in taken)]
 
 
 def assemble(spark: SparkSession, cfg: Config) -> int:
@@ -54,7 +58,11 @@ def assemble(spark: SparkSession, cfg: Config) -> int:
 def condition(spark: SparkSession, cfg: Config) -> int:
     df = _read(spark, cfg, "data/01_assembled")
     write_csv(con.missing_profile(df), _at(cfg, "results/02_missing"))
-    df = con.fill_missing(con.bool_to_int(con.coerce_numeric(df, cfg.conversions)))
+    listed = [(c, "numeric") for c in cfg.conversions]
+    if listed:
+        df = con.apply_conversions(df, spark.createDataFrame(listed, "column_name string, target_dtype string"))
+    df = con.fill_missing(con.bool_to_int(df))
+    df = con.blank_out(df, [c for c in cfg.blanked if c in df.columns])
     write_parquet(df, _at(cfg, "data/02_conditioned"), [cfg.fold])
     done = _read(spark, cfg, "data/02_conditioned")
     write_csv(con.target_stats(done, cfg.target), _at(cfg, "results/02_target"))
@@ -67,16 +75,24 @@ def verify(spark: SparkSession, cfg: Config) -> int:
     return _read(spark, cfg, "results/03_verification").count()
 
 
-def prepare(spark: SparkSession, cfg: Config) -> int:
+def _parts(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows: the conditioned table is partitioned by fold, so these are pruned
+    reads of it, not copies."""
     df = _read(spark, cfg, "data/02_conditioned")
-    train, test = asm.split_by_fold(df, cfg.train_folds, cfg.test_fold, cfg.fold)
-    write_parquet(train, _at(cfg, "data/04_train"))
-    write_parquet(test, _at(cfg, "data/04_test"))
-    return _read(spark, cfg, "data/04_train").count() + _read(spark, cfg, "data/04_test").count()
+    return asm.split_by_fold(df, cfg.train_folds, cfg.test_fold, cfg.fold)
+
+
+def prepare(spark: SparkSession, cfg: Config) -> int:
+    train, test = _parts(spark, cfg)
+    counts = [("train", train.count()), ("test", test.count())]
+    features = _features(cfg, train)
+    sizes = spark.createDataFrame([(*c, len(features)) for c in counts], "part string, rows long, features int")
+    write_csv(sizes, _at(cfg, "results/04_split"))
+    return sum(n for _, n in counts)
 
 
 def fit(spark: SparkSession, cfg: Config) -> int:
-    train, test = (_read(spark, cfg, f"data/04_{p}") for p in ("train", "test"))
+    train, test = _parts(spark, cfg)
     features = _features(cfg, train)
     options = dict(cfg.model)
     if options.get("method") == "boost":
@@ -107,28 +123,29 @@ def fit(spark: SparkSession, cfg: Config) -> int:
 
 def explain(spark: SparkSession, cfg: Config) -> int:
     model = md.load_model(spark, _at(cfg, "models/model"))
-    train, test = (_read(spark, cfg, f"data/04_{p}") for p in ("train", "test"))
+    train, test = _parts(spark, cfg)
     exposure = ev.weight_column(train.columns, cfg.exposure)
-    sample = asm.fixed_sample(train, cfg.key, cfg.explain_sample)
-    for name, rows in (("train", sample), ("test", test)):
+    drawn = asm.hash_sample(train, cfg.key, cfg.explain_fraction)
+    for name, rows in (("train", drawn), ("test", test)):
         write_parquet(model.contributions(rows, cfg.key, exposure), _at(cfg, f"results/06_contrib_{name}"))
     contrib = _read(spark, cfg, "results/06_contrib_test")
     importance = ex.importance(contrib, list(model.features)).orderBy(F.desc("importance"), "field")
     write_csv(importance, _at(cfg, "results/06_importance"))
-    return contrib.count()
+    return contrib.count() + _read(spark, cfg, "results/06_contrib_train").count()
 
 
 def analyse(spark: SparkSession, cfg: Config) -> int:
     model = md.load_model(spark, _at(cfg, "models/model"))
     features = list(model.features)
     contrib = _read(spark, cfg, "results/06_contrib_test")
-    test = _read(spark, cfg, "data/04_test")
+    _, test = _parts(spark, cfg)
     totals = ex.contrib_totals(contrib, features, "weight").coalesce(1)
     write_parquet(totals, _at(cfg, "results/07_totals"))
     totals = _read(spark, cfg, "results/07_totals")
     shares = ex.with_shares(totals)
     write_csv(shares.orderBy(F.desc("total_shap"), "field"), _at(cfg, "results/07_aggregate"))
-    top = [r["field"] for r in ex.top_features(shares, "total_shap", cfg.top_features).collect()]
+    n = len(features) if cfg.top_features is None else cfg.top_features
+    top = [r["field"] for r in ex.top_features(shares, "total_shap", n).collect()]
     if top:
         long = ex.long_contributions(contrib, test, top, cfg.key, "weight")
         write_parquet(ex.contrib_range(long), _at(cfg, "results/07_ranges"))
@@ -161,7 +178,7 @@ def run_stages(spark: SparkSession, cfg: Config) -> DataFrame:
         try:
             rows, status, error = run(spark, cfg), "success", None
         except Exception as err:  # the log records what went wrong
-            rows, status, error = None, "failed", str(err)[:2000]
+            rows, status, error = None, "failed", str(err)
         log.append((cfg.name, name, status, rows, time.monotonic() - began, error))
         if status == "failed" and cfg.stop_on_error:
             break

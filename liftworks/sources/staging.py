@@ -1,7 +1,8 @@
 """Staging of intermediates that several jobs read.
 
 A staged frame is a Parquet table in the shared folder the session names in
-``spark.checkpoint.dir``. It cuts lineage, survives the loss of executors, and later passes read
+``spark.checkpoint.dir`` or by ``setCheckpointDir``. Whoever stages a table that is used up before
+a result is returned releases it; tables behind a lazy result stay for the session's owner to clear. It cuts lineage, survives the loss of executors, and later passes read
 only the columns they need; ``count()`` on it comes from the file footers.
 """
 
@@ -20,7 +21,7 @@ def _own_root(application_id: str) -> str:
 
 
 def staging_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -42,7 +43,19 @@ def stage(df: DataFrame, label: str = "frame", spread: bool = False) -> DataFram
     path = fresh_dir(spark, label)
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
     cores = spark.sparkContext.defaultParallelism
     if spread and staged.rdd.getNumPartitions() < cores:
-        return stage(staged.repartition(cores), label)
+        again = stage(staged.repartition(cores), label)
+        release(staged)
+        return again
     return staged
+
+
+def release(staged: DataFrame) -> None:
+    """Delete a staged table once nothing reads it any more; other frames are left alone."""
+    path = getattr(staged, "_staged_at", None)
+    if path:
+        spark = staged.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

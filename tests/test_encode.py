@@ -42,7 +42,7 @@ def test_guard_is_exact_at_the_limit(spark):
 
 
 def test_ordinal(train):
-    state = enc.fit_encoder(train, "ordinal", exclude=["k"])
+    state = enc.fit_encoder(train, "ordinal", exclude=["k"], on_wide="drop")
     assert state.feature_names == ["lvl", "part", "cont", "txt__a", "txt__b", "txt__nan", "two__x0", "two__x1"]
     assert state.skipped == ("many",)
     got = state.transform(train, keep=["k"])
@@ -52,15 +52,15 @@ def test_ordinal(train):
 
 
 def test_unseen_level_is_all_zeros(spark, train):
-    state = enc.fit_encoder(train, "ordinal", exclude=["k"])
+    state = enc.fit_encoder(train, "ordinal", exclude=["k"], on_wide="drop")
     other = spark.createDataFrame([(1, 1, 1, 1.0, "zz", "n", "x9")], train.schema)
     row = state.transform(other).first()
     assert [row[c] for c in ("txt__a", "txt__b", "txt__nan", "two__x0", "two__x1")] == [0.0] * 5
 
 
 def test_binary_and_custom(train):
-    binary = enc.fit_encoder(train, "binary", exclude=["k"]).transform(train, ["k"]).orderBy("k").collect()
-    custom = enc.fit_encoder(train, "custom", exclude=["k"]).transform(train, ["k"]).orderBy("k").collect()
+    binary = enc.fit_encoder(train, "binary", exclude=["k"], on_wide="drop").transform(train, ["k"]).orderBy("k").collect()
+    custom = enc.fit_encoder(train, "custom", exclude=["k"], on_wide="drop").transform(train, ["k"]).orderBy("k").collect()
     assert [r["lvl"] for r in binary[:6]] == [0, 0, 0, 1, 1, 1]
     assert [r["lvl"] for r in custom[:6]] == [0, 0, 0, 1, 0, 1]
     assert binary[0]["part"] is None and binary[9]["part"] is None
@@ -68,7 +68,7 @@ def test_binary_and_custom(train):
 
 
 def test_ordinal_columns_are_decided_on_training_rows(spark, train):
-    state = enc.fit_encoder(train, "binary", exclude=["k"])
+    state = enc.fit_encoder(train, "binary", exclude=["k"], on_wide="drop")
     other = spark.createDataFrame([(1, 900, 1, 1.0, "a", "n", "x0")], train.schema)
     assert state.transform(other).first()["lvl"] == 0.0
 
@@ -95,7 +95,7 @@ def test_label_table_for_unseen(spark, train):
 
 
 def test_mapped_guard_and_whitelist(train):
-    state = enc.fit_encoder(train, "mapped", {"many": "ohe"}, include=["lvl", "txt"], exclude=["k"])
+    state = enc.fit_encoder(train, "mapped", {"many": "ohe"}, include=["lvl", "txt"], exclude=["k"], on_wide="drop")
     assert state.skipped == ("many",) and state.feature_names == ["lvl", "txt"]
     assert state.transform(train).columns == ["lvl", "txt"]
 
@@ -108,5 +108,5 @@ def test_bad_names_are_refused(train):
 
 
 def test_transform_is_one_projection(train):
-    plan = enc.fit_encoder(train, "binary", exclude=["k"]).transform(train)
+    plan = enc.fit_encoder(train, "binary", exclude=["k"], on_wide="drop").transform(train)
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from liftworks.operators import evaluate as ev
 from liftworks.operators import model as md
 from liftworks.operators import trees
+from liftworks.sources import staging_root
 
 
 @pytest.fixture(scope="module")
@@ -79,11 +81,36 @@ def test_tree_contributions_add_up(rated, boosted):
     assert got.count() == 4000
 
 
-def test_ensemble_scoring_paths_agree(rated, boosted, monkeypatch):
-    native = md.score(boosted, rated).orderBy("k").select("pred").toPandas()["pred"]
-    monkeypatch.setattr(md, "_NATIVE_TREES", 0)
-    batched = md.score(boosted, rated).orderBy("k").select("pred").toPandas()["pred"]
-    assert np.allclose(native, batched, rtol=1e-12)
+def test_min_child_weight_holds_exactly(rated):
+    single = md.fit_boosted(rated, FEATURES, "y", "w", rounds=2, max_depth=3, min_child_weight=1e9)
+    assert all(len(t.nodes) == 1 for t in single.trees)
+    least = 150.0
+    model = md.fit_boosted(rated, FEATURES, "y", "w", rounds=3, max_depth=4, min_child_weight=least)
+    assert any(len(t.nodes) > 1 for t in model.trees)
+    for tree in model.trees:
+        assert all(n.cover >= least for n in tree.nodes)
+
+
+def test_monotone_fit(spark, rated):
+    falling = md.fit_boosted(rated, FEATURES, "y", "w", rounds=6, max_depth=3, monotone=[-1, 0, 0])
+    grid = spark.range(5).select(
+        F.col("id").cast("double").alias("a"), F.explode(F.array(F.lit(0.0), F.lit(7.0))).alias("b"), F.lit(5.0).alias("c")
+    )
+    rows = md.score(falling, grid).orderBy("b", "a").collect()
+    for x, y in zip(rows, rows[1:]):
+        assert x["b"] != y["b"] or y["pred"] <= x["pred"] * (1 + 1e-12)
+    with pytest.raises(ValueError):
+        md.fit_boosted(rated, FEATURES, "y", monotone=[1])
+
+
+def test_a_fit_leaves_no_folder_behind(spark, rated):
+    root = f"{staging_root(spark)}/liftworks"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    md.fit_boosted(rated, FEATURES, "y", "w", rounds=5, max_depth=2, stage_every=2)
+    md.fit_glm(rated, ["a"], "y", "w")
+    facts = ev.prediction_facts(rated.withColumn("pred", F.lit(1.0)).withColumn("num", F.col("y")), "num", "w")
+    ev.lift(facts, "w", "k", rows_per_range=500).collect()
+    assert set(os.listdir(root)) == before
 
 
 def test_options(rated):

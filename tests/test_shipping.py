@@ -16,7 +16,6 @@ df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 2).alias("a"
 fitted = md.fit_boosted(df, ["a"], "y", rounds=1, max_depth=1)
 assert fitted.contributions(df, "k").count() == 200
 assert fitted.contributions(df, "k").agg(F.max("a")).first()[0] > 0
-md._NATIVE_TREES = 0
 assert md.score(fitted, df).filter("pred > 0").count() == 200
 print(md.score(fitted, df).agg(F.sum("pred")).first()[0] > 0)
 """

@@ -51,9 +51,10 @@ def test_all_stages(spark, inputs, tmp_path):
     assert dict(done.dtypes)["text_raw"] == "double" and done.filter("text_raw is null").count() == 0
     metrics = spark.read.json(f"{cfg.output}/results/05_metrics").first()
     assert (metrics["train_size"], metrics["test_size"], metrics["n_features"]) == (400, 200, 3)
-    for part in ("train", "test"):
+    folds = {"train": "fold in (1, 2)", "test": "fold = 6"}
+    for part in folds:
         lift = spark.read.csv(f"{cfg.output}/results/05_lift_{part}", header=True, inferSchema=True)
-        assert lift.agg(F.sum("weight")).first()[0] == spark.read.parquet(f"{cfg.output}/data/04_{part}").agg(F.sum("ee")).first()[0]
+        assert lift.agg(F.sum("weight")).first()[0] == done.filter(folds[part]).agg(F.sum("ee")).first()[0]
     contrib = spark.read.parquet(f"{cfg.output}/results/06_contrib_test")
     model = md.load_model(spark, f"{cfg.output}/models/model")
     pred = spark.read.parquet(f"{cfg.output}/results/05_predictions")
@@ -62,6 +63,7 @@ def test_all_stages(spark, inputs, tmp_path):
     )
     assert gap.count() == 200 and gap.agg(F.max("gap")).first()[0] < 1e-9
     assert spark.read.parquet(f"{cfg.output}/results/07_ranges").count() > 0
+    assert spark.read.parquet(f"{cfg.output}/results/06_contrib_train").count() == 400
     assert stages.run_summary(spark.read.parquet(f"{cfg.output}/run_log")).first()["success"] == 7
 
 
@@ -122,6 +124,32 @@ def test_configuration_files(spark, inputs, tmp_path):
     assert stages.run_all(spark, []).count() == 0
 
 
+def test_settings_are_honoured_or_refused(spark, inputs, tmp_path):
+    _files(tmp_path, inputs)
+    folder = tmp_path / "b"
+    (folder / "out.csv").write_text("column_name\nflag\n")
+    (folder / "blank.csv").write_text("column_name\nlvl\n")
+    raw = json.loads((folder / "config.json").read_text())
+    raw["features"] = {"exclusion_file": "out.csv", "blank_file": "blank.csv"}
+    (folder / "config.json").write_text(json.dumps(raw))
+    cfg = load_config(str(folder / "config.json"))
+    assert cfg.excluded == ["flag"] and cfg.blanked == ["lvl"]
+    run = config(inputs, tmp_path / "r", excluded=cfg.excluded, blanked=cfg.blanked)
+    stages.run_stages(spark, run)
+    assert spark.read.parquet(f"{run.output}/data/02_conditioned").filter("lvl != 0").count() == 0
+    assert "flag" not in md.load_model(spark, f"{run.output}/models/model").features
+    for section, key in (("xgboost", "gamma_ray"), ("data", "master"), ("features", "inclusion")):
+        wrong = raw | {section: (raw.get(section) or {}) | {key: 1}}
+        (folder / "config.json").write_text(json.dumps(wrong))
+        with pytest.raises(ValueError, match=key):
+            load_config(str(folder / "config.json"))
+
+
+def test_text_features_are_refused(spark, inputs, tmp_path):
+    log = stages.run_stages(spark, config(inputs, tmp_path, conversions=[])).collect()[-1]
+    assert log["status"] == "failed" and "text_raw" in log["error"]
+
+
 def test_comparison(spark):
     a = stages.metrics_long(spark.createDataFrame([(1.0, 5)], "mae double, size int"))
     b = stages.metrics_long(spark.createDataFrame([(4.0, 5)], "mae double, size int"))
