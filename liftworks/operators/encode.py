@@ -31,6 +31,7 @@ LOW_0_3 = ({0, 1, 2, 3}, {4, 5})
 LOW_0_1_4 = ({0, 1, 4}, {3, 5})
 
 SCHEMES = ("ordinal", "binary", "mapped", "custom")
+BROADCAST_CODES = 200_000  # rows of a code table, some MB
 MAX_UNIQUE = 100
 
 
@@ -80,7 +81,8 @@ def detect_ordinal(
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], max_unique: int = MAX_UNIQUE) -> DataFrame:
-    """``(field, n_unique, safe)``: exact distinct counts, missing not counted."""
+    """``(field, n_unique, safe)``: exact distinct counts are wanted, so distinct values are shuffled;
+    missing not counted."""
     if not columns:
         return df.sparkSession.createDataFrame([], "field string, n_unique bigint, safe boolean")
     pairs = _long(df, {c: F.col(c).cast("string") for c in columns})
@@ -177,6 +179,9 @@ class EncoderState:
             codes = codes.select(
                 F.col("category").alias(f"__cat_{name}"), F.col("code").alias(f"__code_{name}")
             )
+            # a dominant category is one key: small tables are broadcast, others joined by shuffle
+            if codes.count() <= BROADCAST_CODES:
+                codes = F.broadcast(codes)
             df = df.join(codes, F.col(name) == F.col(f"__cat_{name}"), "left")
         outputs = [
             out for s in self.steps for out, n in zip(s.outputs(), s.names()) if n in wanted

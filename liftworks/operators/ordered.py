@@ -31,7 +31,7 @@ from liftworks.functions import missing_to_null
 from liftworks.sources import release, stage
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 16_384
+MAX_RANGES = 16_384  # bounds the driver's list of cut points; beyond it ranges grow
 WEIGHT_DIGITS = 10
 _SAMPLES_PER_RANGE = 16
 _RANGE = "__range"
@@ -336,15 +336,14 @@ def smallest(
 
     A plain ``limit`` after ``orderBy`` brings ``n`` rows of every input partition to one task. The
     first range of a large table holds about twice ``n`` rows, so the rest is filtered out first; if
-    it holds too few, the plain form is right as well.
+    it holds too few, the ranges after it are taken in until there are enough.
     """
     ranges = split_ranges(df, order, max(2 * n, rows_per_range))
-    rows = df
-    if ranges.count > 1:
-        head = df.filter(ranges.here() < ranges.start_of(1))
+    for number in range(1, ranges.count):
+        head = df.filter(ranges.here() < ranges.start_of(number))
         if head.count() >= n:
-            rows = head
-    return rows.orderBy(*order).limit(n)
+            return head.orderBy(*order).limit(n)
+    return df.orderBy(*order).limit(n)
 
 
 # --- order statistics -------------------------------------------------------------------------

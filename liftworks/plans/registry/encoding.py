@@ -148,7 +148,7 @@ def label_codes(spark, sf_dir):
 def _encoded(spark, sf_dir, scheme, mapping=None, include=None):
     df = con.bool_to_int(b.features(spark, sf_dir))
     train = df.filter(F.col("fold") <= 5)
-    state = enc.fit_encoder(train, scheme, mapping, include=include, exclude=_KEYS)
+    state = enc.fit_encoder(train, scheme, mapping, include=include, exclude=_KEYS, on_wide="drop")
     return tidy(state.transform(df, keep=["o_orderkey"]))
 
 
