@@ -129,7 +129,10 @@ def write_blocks(
         .option("path", fresh_dir(spark, "blocks"))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    table = spark.table(name)
+    table.count()  # resolves the files, so the name is needed no more
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files are the shared folder's
+    return table
 
 
 def answer(

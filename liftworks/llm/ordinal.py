@@ -122,7 +122,9 @@ def fit(
     """Model for ``ratings`` (doc_id, grade from 0 to grades - 1) of ``docs``."""
     parts = 4
     rated = _rated(docs, ratings, bound).groupBy("at").agg(F.min("grade").alias("grade"))
-    data = stage(rated.select("grade", "at").repartition(parts), "rated")  # copies count once
+    # copies count once; rows are in one order, so that sums are the same in every run
+    rated = rated.select("grade", "at").repartition(parts, "at").sortWithinPartitions("at")
+    data = stage(rated, "rated")
     counts = np.zeros(grades)
     for row in data.groupBy("grade").count().collect():  # one row per grade
         counts[row["grade"]] += row["count"]
