@@ -142,6 +142,7 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
     """
     grams = docs.mapInArrow(lambda b: _anchors(b, False), "gram long")
     often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    often = stage(often, "often")  # the join below then has plain sides, which Spark splits if skewed
     places = docs.mapInArrow(
         lambda b: _anchors(b, True), "gram long, content long, id long, span long"
     )
