@@ -235,7 +235,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     named = entries.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = stage(named, "named")  # the join below then has plain sides, which Spark splits if skewed
+    least = stage(
+        named.groupBy("component").agg(F.min("least").alias("component_id")), "components"
+    )
     table = named.join(least, "component").select("fp", "component_id")
     return prints.join(table, "fp").select(
         "doc_id",
