@@ -19,7 +19,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftworks.sources import fresh_dir
+from liftworks.sources import fresh_dir, stage
 
 KEYS = ["source", "lang", "version"]
 SUMS = ["n_docs", "n_tokens", "n_chars"]
@@ -130,11 +130,9 @@ def replay(docs: DataFrame) -> DataFrame:
     delete batch and the revision are sent twice, and batches are folded midway.
     """
     spark = docs.sparkSession
-    from liftworks.sources import stage
-
     rows = stage(counted(docs), "counted")
     v1 = rows.withColumns({"version": F.lit("v1"), "n_tokens": F.col("words"), "n_chars": F.col("chars")})
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    first = stage(rows.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     joined = v1.join(first, "digest")
     is_copy = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))
     copies, kept = joined.filter(is_copy), joined.filter(~is_copy)
