@@ -192,9 +192,11 @@ def fit(
     return Model(thresholds, weights)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, expected_grade, p_grade_1, p_grade_2, ...) of every document."""
+def score(docs: DataFrame, model: Model, key: str | None = None) -> DataFrame:
+    """(doc_id, expected_grade, p_grade_1, p_grade_2, ...) of every document, and the long column
+    ``key`` if one is named."""
     grades = len(model.thresholds) + 1
+    extra = [key] if key else []
     names = ["doc_id", "expected_grade", *[f"p_grade_{k}" for k in range(1, grades)]]
 
     def run(batches):
@@ -214,11 +216,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             tails = model.tails(scores)
             columns = [tails.sum(axis=1), *np.ascontiguousarray(tails.T)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(c) for c in columns]], names=names
+                [b.column(0), *[pa.array(c) for c in columns], *b.columns[2:]], names=[*names, *extra]
             )
 
-    schema = "doc_id long, " + ", ".join(f"{c} double" for c in names[1:])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    kinds = [f"{c} double" for c in names[1:]] + [f"{c} long" for c in extra]
+    schema = "doc_id long, " + ", ".join(kinds)
+    return docs.select(F.col("doc_id").cast("long"), "text", *extra).mapInArrow(run, schema)
 
 
 def grade_of() -> Column:
@@ -228,9 +231,14 @@ def grade_of() -> Column:
     )
 
 
-def select(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """Scores of all documents, ``kept`` where the top grade has probability ``least`` or more."""
+def select(
+    docs: DataFrame, labels: DataFrame, least: float = 0.5, key: str | None = None
+) -> DataFrame:
+    """Scores of all documents, ``kept`` where the top grade has probability ``least`` or more.
+
+    ``key`` names a long column of ``docs`` that goes along.
+    """
     ratings = labels.select("doc_id", grade_of().alias("grade"))
     model = fit(docs, ratings, 3)
     kept = (F.col("p_grade_2") >= least) | F.lit(not model.weights.any())
-    return score(docs, model).withColumn("kept", kept)
+    return score(docs, model, key).withColumn("kept", kept)

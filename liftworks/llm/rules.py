@@ -79,20 +79,21 @@ def counts_of(text: bytes) -> tuple[int, ...]:
     )
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, counts) of every document."""
+def statistics(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """(doc_id, counts) of every document, and the long column ``key`` if one is named."""
+    extra = [key] if key else []
 
     def run(batches):
         for b in batches:
             columns = np.array([counts_of(t) for t in binaries(b.column(1))], dtype=np.int64)
             columns = columns.reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(c) for c in np.ascontiguousarray(columns.T)]],
-                names=["doc_id", *COUNTS],
+                [b.column(0), *[pa.array(c) for c in np.ascontiguousarray(columns.T)], *b.columns[2:]],
+                names=["doc_id", *COUNTS, *extra],
             )
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in [*COUNTS, *extra])
+    return docs.select(F.col("doc_id").cast("long"), "text", *extra).mapInArrow(run, schema)
 
 
 def features() -> dict[str, Column]:
@@ -241,9 +242,12 @@ def verdict(rules: list[Rule]) -> Column:
     return F.expr(f"CASE {whens} ELSE 0 END")
 
 
-def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Counts, base and verdict of every document; ``rule`` is the rule that rejected it or 0."""
-    stats = stage(statistics(docs), "statistics")
+def apply(docs: DataFrame, labels: DataFrame, key: str | None = None) -> DataFrame:
+    """Counts, base and verdict of every document; ``rule`` is the rule that rejected it or 0.
+
+    ``key`` names a long column of ``docs`` that goes along.
+    """
+    stats = stage(statistics(docs, key), "statistics")
     rules = fit(stats, labels)
     judged = stats.withColumns(
         {f"__{k}": F.col(k) for k in COUNTS} | {"base_failed": base_failed()}
@@ -255,4 +259,5 @@ def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "base_failed",
         "rule",
         (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"),
+        *([key] if key else []),
     )

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from liftworks.llm.graph import components
+from liftworks.llm.rows import numbered
 from liftworks.llm.text import binaries, words_of
 from liftworks.sources import stage
 
@@ -226,16 +227,20 @@ def links(entries: DataFrame, split: int = SPLIT) -> DataFrame:
     return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document; repeated rows stay."""
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    entries = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    entries = stage(entries, "entries")
+def _named(prints: DataFrame, order) -> DataFrame:
+    """(fp, component, least) of every fingerprint; ``least`` is its rows' least ``order``."""
+    entries = stage(prints.groupBy("fp").agg(F.min(order).alias("least")), "entries")
     groups = components(links(entries.select("fp")))
     named = entries.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
-    named = stage(named, "named")  # the join below then has plain sides, which Spark splits if skewed
+    return stage(named, "named")  # later joins then have plain sides, which Spark splits if skewed
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document; repeated rows stay."""
+    prints = stage(fingerprints(docs, shingle), "fingerprints")
+    named = _named(prints, F.col("doc_id"))
     least = stage(
         named.groupBy("component").agg(F.min("least").alias("component_id")), "components"
     )
@@ -248,12 +253,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents that are the first of their component, all columns; documents without an id stay.
-
-    Of repeated rows with the same id, one stays.
+    """Rows that are the first of their component, all columns: the least doc_id (null last), then
+    the least hash of the text. Ids need not be there or differ; rows are told apart by number.
     """
-    kept = near_duplicates(docs.select("doc_id", "text")).filter("doc_id = component_id")
-    with_id = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    return with_id.dropDuplicates(["doc_id"]).select(docs.columns).union(
-        docs.filter("doc_id is null")
+    docs = numbered(docs, "__row")
+    prints = stage(
+        fingerprints(docs.select(F.col("__row").alias("doc_id"), "text")).join(
+            docs.select("__row", F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("text")),
+            F.col("doc_id") == F.col("__row"),
+        ),
+        "fingerprints",
+    )
+    order = F.struct(F.col("own").isNull().alias("none"), "own", "text", "__row")
+    first = _named(prints, order).groupBy("component").agg(F.min("least").alias("least"))
+    return docs.join(first.select("least.__row"), "__row", "left_semi").select(
+        [c for c in docs.columns if c != "__row"]
     )

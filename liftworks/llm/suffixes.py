@@ -35,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from liftworks.llm.rows import numbered
 from liftworks.llm.text import binaries
 from liftworks.sources import stage
 
@@ -450,18 +451,6 @@ def _hot_windows(texts: DataFrame) -> DataFrame:
     return found.mapInArrow(stretches, "gram long, content long, repeats binary")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with an ``id`` of their own: doc_id where that is unique, else a row number."""
-    seen = docs.agg(
-        F.count(F.lit(1)).alias("rows"), F.count("doc_id").alias("ids")
-    ).first()
-    distinct = docs.select("doc_id").distinct().count() if seen["rows"] == seen["ids"] else -1
-    if distinct == seen["rows"]:
-        return docs.withColumn("id", F.col("doc_id").cast("long"))
-    # written, since row numbers are not the same if an executor is lost
-    return stage(docs.withColumn("id", F.monotonically_increasing_id()), "numbered")
-
-
 def _removed(docs: DataFrame, hot: int = HOT, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
     """``docs`` (id, text) with ``spans``: first and last byte + 1 of repeated stretches."""
     blocks = repeated_blocks(docs.select("id", "text"))
@@ -520,7 +509,7 @@ def keep(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    docs = _numbered(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    docs = numbered(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
 
     def run(batches):
         for b in batches:
@@ -549,7 +538,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ``n_chars``, if there is such a column, is counted anew. Null texts stay null.
     """
     columns = docs.columns
-    kept = _removed(_numbered(docs))
+    kept = _removed(numbered(docs))
 
     def run(batches):
         for b in batches:

@@ -222,6 +222,21 @@ def test_pipeline_stages(spark, docs, no_docs, labels, tmp_path):
     assert first.count() == stats.filter("kept").count()
 
 
+def test_stages_judge_rows_without_or_with_repeated_ids_one_by_one(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    good = [" ".join(f"w{k}x{i}" for i in range(80)) for k in range(3)]
+    frame = spark.createDataFrame(
+        [(None, good[0]), (None, "one"), (None, good[0]), (7, good[1]), (7, "two"), (7, good[2])],
+        "doc_id long, text string",
+    ).repartition(3)
+    ruled = corpus_pipeline.quality_rules(spark, frame, sf)
+    assert sorted(r["text"] for r in ruled.collect()) == sorted([good[0], *good])
+    assert corpus_pipeline.quality_classifier(spark, ruled, sf).count() == 4
+    kept = corpus_pipeline.near_dedup(spark, ruled, sf)
+    assert sorted(r["text"] for r in kept.collect()) == good and kept.columns == frame.columns
+
+
 def test_entry_without_the_subpackage(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     script = (
