@@ -12,7 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from liftworks.llm import bpe, graph, maxent, rules, simhash, suffixes, syncmers, text
+from liftworks.llm import bpe, graph, maxent, nearcopies, rules, simhash, suffixes, syncmers, text
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -189,6 +189,45 @@ def test_keep_one_of_each_group(docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def word_shingles(t):
+    words = t.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_copies_equal_brute_force(spark, docs, no_docs):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(500)}" for _ in range(rng.choice((30, 120, 300)))] for _ in range(12)]
+    texts = [" ".join(b) for b in base]
+    for k in range(110):
+        words = list(base[k % 7])
+        for _ in range(rng.randint(1, max(1, len(words) // 40))):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    texts += ["", " ", None, "one two", "One  two"]
+    sets = [word_shingles(t or "") for t in texts]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a == sets[j] or both and 5 * both >= 4 * len(a | sets[j]):
+                x, y = root(i), root(j)
+                least[max(x, y)] = min(x, y)
+    want = {root(i) for i in range(len(texts))}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for split in (nearcopies.SPLIT, 8):
+        assert {r["doc_id"] for r in nearcopies.keep_one(frame, split).collect()} == want
+    kept = nearcopies.keep_one(docs)
+    ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda i: (i is None, i))
+    assert kept.columns == docs.columns and 10 not in ids and ids.count(5) == 1 and None in ids
+    assert nearcopies.keep_one(no_docs).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (300, 300)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
