@@ -47,6 +47,15 @@ def marker(line: str) -> tuple[int, int]:
     return kind, m.end() if kind != _OTHER else 0
 
 
+def text_start(line: str) -> int:
+    """Where a turn's text starts in its first line: behind its marker and one space."""
+    end = marker(line)[1]
+    head = line[:end].rstrip()
+    if end and "*" not in line[: _MARK.match(line).start(1)]:
+        head = head.rstrip("* \t")  # stars behind a plain marker are the text's own
+    return min(end, len(head) + 1)
+
+
 def observe(text: str) -> tuple[list[str], np.ndarray]:
     """Lines that aren't blank, and their features."""
     lines, rows, blank = [], [], False
@@ -129,11 +138,14 @@ _STYLES = (
 def compose(turns: list[tuple[int, str]], seed: int) -> tuple[str, list[tuple[int, int]]]:
     """A transcript of (role, text) turns and the (role, lines) of each.
 
-    ``seed`` picks the style and which turns lack their marker; those follow a blank line.
+    ``seed`` picks the style and which turns lack their marker; those follow a blank line. A blank
+    turn always has a marker, of the first style if its own has none: nothing else would show it.
     """
     style, out, known = _STYLES[seed % len(_STYLES)], [], []
     for k, (role, text) in enumerate(turns):
         mark = style[role] if (seed >> 3) + 7 * k & 7 or not k else ""
+        if not text.strip():
+            mark = style[role] or _STYLES[0][role]
         out.append(("" if mark or not k else "\n") + mark + text)
         known.append((role, len(observe(mark + text)[0])))
     return "\n".join(out), known
@@ -200,15 +212,38 @@ def fit(known: DataFrame) -> Model:
     return Model(counts)
 
 
+def blank_before(text: str) -> tuple[list[list[str]], list[str]]:
+    """The blank lines before each line that isn't blank, and those after the last one."""
+    out, held = [], []
+    for line in text.split("\n"):
+        if line.strip():
+            out.append(held)
+            held = []
+        else:
+            held.append(line)
+    return out, held
+
+
 def turns_of(text: str, model: Model) -> list[tuple[str, str]]:
-    """(role, text) turns of a transcript; speaker markers at a turn's start are cut off."""
+    """(role, text) turns of a transcript; speaker markers at a turn's start are cut off.
+
+    Blank lines within a turn stay, as do those after it, but for the one that stands before an
+    unmarked turn, which is the transcript's own sign of a new turn. Of a marker's spaces one is cut.
+    """
     lines, seen = observe(text)
+    blanks, after = blank_before(text)
     out: list[tuple[str, list[str]]] = []
-    for line, state in zip(lines, model.best(seen).tolist()):
+    for line, state, before in zip(lines, model.best(seen).tolist(), blanks):
+        cut = marker(line)[1]
         if state % 2 == 0 or not out:
-            out.append((ROLES[state // 2], [line[marker(line)[1] :]]))
+            if out:
+                out[-1][1].extend(before if cut else before[:-1])
+                before = []
+            out.append((ROLES[state // 2], [*before, line[text_start(line) :]]))
         else:
-            out[-1][1].append(line)
+            out[-1][1].extend([*before, line])
+    if out:
+        out[-1][1].extend(after)
     return [(role, "\n".join(rest)) for role, rest in out]
 
 

@@ -199,6 +199,15 @@ def test_chat_on_edge_rows(spark):
     assert chat.turns_of("", chat.Model(np.zeros(chat.STATES + chat.STATES**2 + chat.STATES * sum(chat._SIZES)))) == []
 
 
+def test_chat_keeps_blank_lines_leading_spaces_and_empty_turns():
+    turns = [(0, "How?\n\n\n- one\n\n- two"), (1, "    code()\n\n    more()\n"), (0, ""), (1, "**So**\n\nbye"), (2, "")]
+    model = chat.Model(np.zeros(chat.STATES + chat.STATES**2 + chat.STATES * sum(chat._SIZES)))
+    for seed in range(80):
+        text, known = chat.compose(turns, seed)
+        model.best = lambda seen, known=known: chat.states_of(known)
+        assert chat.turns_of(text, model) == [(chat.ROLES[r], t) for r, t in turns], seed
+
+
 # --- pipeline and packaging -------------------------------------------------------------------
 
 
