@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from liftworks.llm import bpe, chat, maxent, ordinal, packing, rollups, rules, simhash, suffixes, syncmers
+from liftworks.llm import (
+    bpe, chat, maxent, ordinal, packing, periodic, rollups, rules, simhash, suffixes, syncmers,
+)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,3 +91,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"))
