@@ -14,7 +14,7 @@ SF = f"{DATA}/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
 
 
