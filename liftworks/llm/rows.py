@@ -16,3 +16,11 @@ def numbered(docs: DataFrame, name: str = "id") -> DataFrame:
         return docs.withColumn(name, own)
     # written, since row numbers are not the same if an executor is lost
     return stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
+def free_name(docs: DataFrame, name: str = "__row") -> str:
+    """``name``, with underscores before it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from liftworks.llm.graph import components
-from liftworks.llm.rows import numbered
+from liftworks.llm.rows import free_name, numbered
 from liftworks.llm.text import binaries, words_of
 from liftworks.sources import stage
 
@@ -256,16 +256,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """Rows that are the first of their component, all columns: the least doc_id (null last), then
     the least hash of the text. Ids need not be there or differ; rows are told apart by number.
     """
-    docs = numbered(docs, "__row")
+    columns, row = docs.columns, free_name(docs)
+    docs = numbered(docs, row)
     prints = stage(
-        fingerprints(docs.select(F.col("__row").alias("doc_id"), "text")).join(
-            docs.select("__row", F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("text")),
-            F.col("doc_id") == F.col("__row"),
+        fingerprints(docs.select(F.col(row).alias("doc_id"), "text")).join(
+            docs.select(
+                F.col(row).alias("row"), F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("text")
+            ),
+            F.col("doc_id") == F.col("row"),
         ),
         "fingerprints",
     )
-    order = F.struct(F.col("own").isNull().alias("none"), "own", "text", "__row")
+    order = F.struct(F.col("own").isNull().alias("none"), "own", "text", "row")
     first = _named(prints, order).groupBy("component").agg(F.min("least").alias("least"))
-    return docs.join(first.select("least.__row"), "__row", "left_semi").select(
-        [c for c in docs.columns if c != "__row"]
-    )
+    return docs.join(first.select(F.col("least.row").alias(row)), row, "left_semi").select(columns)

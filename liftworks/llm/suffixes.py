@@ -35,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from liftworks.llm.rows import numbered
+from liftworks.llm.rows import free_name, numbered
 from liftworks.llm.text import binaries
 from liftworks.sources import stage
 
@@ -452,7 +452,7 @@ def _hot_windows(texts: DataFrame) -> DataFrame:
 
 
 def _removed(docs: DataFrame, hot: int = HOT, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
-    """``docs`` (id, text) with ``spans``: first and last byte + 1 of repeated stretches."""
+    """(id, spans) of the rows of ``docs`` (id, text) that have repeated stretches."""
     blocks = repeated_blocks(docs.select("id", "text"))
     distinct = blocks.groupBy("gram", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "span")).alias("one")
@@ -478,7 +478,7 @@ def _removed(docs: DataFrame, hot: int = HOT, range_blocks: int = RANGE_BLOCKS)
     spans = blocks.join(verdicts, ["gram", "content"]).groupBy("id").agg(
         F.collect_list(F.struct("span", "repeats")).alias("spans")
     )
-    return docs.join(spans, "id", "left")
+    return spans
 
 
 def stretches(spans) -> list[tuple[int, int]]:
@@ -527,7 +527,8 @@ def digests(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return _removed(docs).select(F.col("doc_id").cast("long"), "text", "spans").mapInArrow(
+    found = docs.join(_removed(docs.select("id", "text")), "id", "left")
+    return found.select(F.col("doc_id").cast("long"), "text", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -537,8 +538,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there is such a column, is counted anew. Null texts stay null.
     """
-    columns = docs.columns
-    kept = _removed(numbered(docs))
+    columns, row = docs.columns, free_name(docs)
+    spans_name = free_name(docs, "__spans")
+    given = numbered(docs, row)
+    found = _removed(given.select(F.col(row).alias("id"), F.coalesce("text", F.lit("")).alias("text")))
+    kept = given.join(found.select(F.col("id").alias(row), F.col("spans").alias(spans_name)), row, "left")
 
     def run(batches):
         for b in batches:
@@ -546,13 +550,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             for null, text, spans in zip(
                 b.column("text").is_null().to_pylist(),
                 binaries(b.column("text")),
-                b.column("spans").to_pylist(),
+                b.column(spans_name).to_pylist(),
             ):
                 texts.append(None if null else keep(text, stretches(spans)).decode("utf-8", "ignore"))
             out = [pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in columns]
             yield pa.RecordBatch.from_arrays(out, names=columns)
 
-    out = kept.select(*columns, "spans").mapInArrow(run, docs.schema)
+    out = kept.select(*columns, spans_name).mapInArrow(run, docs.schema)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -14,6 +14,9 @@ DOCS = T.StructType(
         T.StructField("block", T.StringType()),
         T.StructField("span", T.StringType()),
         T.StructField("grade", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("spans", T.StringType()),
+        T.StructField("__row", T.StringType()),
     ]
 )
 LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
@@ -39,7 +42,7 @@ TEXTS = [
 
 def frame(spark, rows):
     return spark.createDataFrame(
-        [(i, t, "en", None, None, "f", 1, "b", "s", "g") for i, t in rows], DOCS
+        [(i, t, "en", None, None, "f", 1, "b", "s", "g", "i", "x", "r") for i, t in rows], DOCS
     )
 
 
