@@ -6,21 +6,19 @@ Both predict a rate; the margin is its logarithm. Scoring and contributions keep
 from __future__ import annotations
 
 import math
-import random
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from liftworks.functions import missing_to_null
-from liftworks.operators import trees
+from liftworks.operators import boosting, trees
 from liftworks.operators.assemble import hash_sample
 from liftworks.operators.evaluate import residual_tables
 from liftworks.sources import release, stage
@@ -30,7 +28,7 @@ cloudpickle.register_pickle_by_value(trees)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _FEATURES, _LABEL, _WEIGHT, _OFFSET = "__features", "__label", "__weight", "__offset"
-_MARGIN, _KEY = "__margin", "__key"
+_MARGIN, _MARK = "__margin", "__mark"
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -75,7 +73,7 @@ class BoostedModel:
 
     def margin(self, df: DataFrame) -> DataFrame:
         names = [f"__x_{i}" for i in range(len(self.features))]
-        wide = df.withColumns({n: _input(df, c) for n, c in zip(names, self.features)})
+        wide = df.withColumns({n: _tree_input(c) for n, c in zip(names, self.features)})
         start = F.lit(self.start)
         if self.offset:
             start = start + F.log(F.col(self.offset).cast("double"))
@@ -96,8 +94,8 @@ class BoostedModel:
     def contributions(self, df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
         """Shapley values per feature on the margin scale; with the base they add up to it."""
         ensemble, start, names = self.trees, self.start, list(self.features)
-        tables, add = trees.leaf_tables, trees.add_contributions
-        rows = df.select(key, _weight(weight), *[_input(df, c).alias(c) for c in names])
+        tables, add = trees.leaves, trees.add_contributions
+        rows = df.select(key, _weight(weight), *[_tree_input(c).alias(c) for c in names])
 
         def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             leaves = [tables(t) for t in ensemble]
@@ -127,10 +125,15 @@ def _weight(weight: str | None) -> Column:
 
 
 def _input(df: DataFrame, name: str) -> Column:
-    """A feature as the fits see it: a double, missing as 0."""
+    """A feature as linear models see it: a double, missing as 0."""
     return F.coalesce(missing_to_null(F.col(name), df.schema[name].dataType).cast("double"), F.lit(0.0))
 
 
+def _tree_input(name: str) -> Column:
+    """A feature as trees see it: a double, missing as NaN."""
+    return F.coalesce(F.col(name).cast("double"), F.lit(float("nan")))
+
+
 def score(model: Model, df: DataFrame) -> DataFrame:
     """All columns and ``pred``, the predicted rate."""
     return model.margin(df).withColumn("pred", F.exp(_MARGIN)).drop(_MARGIN)
@@ -152,20 +155,15 @@ def sample_contributions(
 
 
 def _training(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    weight: str | None,
-    offset: str | None,
-    key: str | None = None,
+    df: DataFrame, inputs: Sequence[Column], label: str, weight: str | None, offset: str | None, *more: Column
 ) -> DataFrame:
     log_offset = F.log(F.col(offset).cast("double")) if offset else F.lit(0.0)
     return df.select(
-        *[_input(df, c).alias(c) for c in features],
+        *inputs,
         F.col(label).cast("double").alias(_LABEL),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias(_WEIGHT),
         log_offset.alias(_OFFSET),
-        *([F.col(key).alias(_KEY)] if key else []),
+        *more,
     )
 
 
@@ -179,7 +177,8 @@ def fit_glm(
     ridge: float = 0.0,
 ) -> LinearModel:
     """Tweedie GLM with log link; ``offset`` is a factor on the rate."""
-    rows = stage(_training(df, features, label, weight, offset), "training", spread=True)
+    inputs = [_input(df, c).alias(c) for c in features]
+    rows = stage(_training(df, inputs, label, weight, offset), "training", spread=True)
     vectors = VectorAssembler(inputCols=list(features), outputCol=_FEATURES).transform(rows)
     fitted = GeneralizedLinearRegression(
         family="tweedie", variancePower=power, linkPower=0.0, featuresCol=_FEATURES, labelCol=_LABEL,
@@ -193,43 +192,6 @@ def fit_glm(
     )
 
 
-def tweedie_gradients(margin: Column, label: Column, weight: Column, power: float):
-    """First and second derivative of the Tweedie deviance half in the margin, per row."""
-    low, high = F.exp((1.0 - power) * margin), F.exp((2.0 - power) * margin)
-    g = weight * (high - label * low)
-    h = weight * ((2.0 - power) * high - (1.0 - power) * label * low)
-    return g, h
-
-
-def _gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, power: float):
-    low, high = np.exp((1.0 - power) * margin), np.exp((2.0 - power) * margin)
-    return weight * (high - label * low), weight * ((2.0 - power) * high - (1.0 - power) * label * low)
-
-
-def feature_cuts(df: DataFrame, features: Sequence[str], max_bins: int) -> list[np.ndarray]:
-    """Cut points of each feature, at most ``max_bins - 1``: between neighbouring values where
-    there are few, else approximate quantiles."""
-    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
-    few = [c for c in features if rough[c] <= max_bins]
-    many = [c for c in features if rough[c] > max_bins]
-    cuts = {}
-    if few:  # sets of about max_bins values
-        sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
-        for c in few:
-            values = np.array(sets[c], dtype=float)
-            cuts[c] = (values[1:] + values[:-1]) / 2
-            if len(cuts[c]) >= max_bins:
-                many.append(c)
-    if many:
-        shares = [i / max_bins for i in range(1, max_bins)]
-        found = df.approxQuantile(many, shares, 0.1 / max_bins)
-        cuts |= {c: np.unique(np.array(q, dtype=float)) for c, q in zip(many, found)}
-    return [cuts[c] for c in features]
-
-
-_BINNED = "margin double, label double, weight double, bins binary"
-
-
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -250,26 +212,30 @@ def fit_boosted(
     seed: int = 42,
     stage_every: int = 10,
     monotone: Sequence[int] | None = None,
+    tasks: int | None = None,
+    keep_every: int = 250,
+    resume: str | None = None,
 ) -> BoostedModel:
-    """Newton boosting for the Tweedie deviance over binned features.
-
-    Features are binned to bytes once. Each tree level is one job: tasks sum g and h by (node,
-    feature, bin) of their rows, Spark adds the sums, and the driver picks splits by regularised
-    gain. A child holds at least ``min_child_weight`` of h, exactly; ``monotone`` directions (-1, 0,
-    1 per feature) bind splits and leaves. Margins are recomputed from the trees since the last
-    written generation, which is written every ``stage_every`` rounds and then replaces the one
-    before. Row subsampling hashes ``key`` with the round.
+    """Newton boosting for the Tweedie deviance over binned features, see ``boosting``.
+
+    Cut points are weighted quantiles. A split sends rows without the feature, null or NaN, to the side
+    where they lower the loss more. A child holds at least ``min_child_weight`` of h, exactly;
+    ``monotone`` directions (-1, 0, 1 per feature) bind splits and leaves. Row subsampling hashes
+    ``key`` with the round. ``tasks`` hold the rows in memory for ``keep_every`` rounds; with 0, or if the
+    rows are too large for that, every level is a job and margins are written every ``stage_every``
+    rounds. ``resume`` is a shared folder from which an interrupted fit goes on.
     """
     if subsample < 1.0 and key is None:
         raise ValueError("subsampling needs a row key")
     if not 1.0 < power < 2.0:
         raise ValueError("the variance power must lie between 1 and 2")
-    if not 2 <= max_bins <= 256:
-        raise ValueError("max_bins must lie between 2 and 256")
+    if not 2 <= max_bins <= 255:
+        raise ValueError("max_bins must lie between 2 and 255")
     features = list(features)
     if monotone is not None and (len(monotone) != len(features) or set(monotone) - {-1, 0, 1}):
         raise ValueError("monotone takes -1, 0 or 1 for each feature")
-    rows = _training(df, features, label, weight, offset, key if subsample < 1.0 else None)
+    mark = boosting.mark_of(key if subsample < 1.0 else None).alias(_MARK)
+    rows = _training(df, [_tree_input(c).alias(c) for c in features], label, weight, offset, mark)
     rows = stage(rows.filter(F.col(_WEIGHT) > 0), "training")  # others have no curvature
     sums = rows.agg(
         F.sum(F.col(_WEIGHT) * F.col(_LABEL)), F.sum(F.col(_WEIGHT) * F.exp(_OFFSET))
@@ -277,120 +243,17 @@ def fit_boosted(
     if not sums[0] or sums[0] <= 0:
         raise ValueError("the weighted label must have a positive sum")
     start = math.log(sums[0] / sums[1])
-    cuts = feature_cuts(rows, features, max_bins)
-    extra = [F.col(_KEY)] if subsample < 1.0 else []
-    key_field = f", {_KEY} {rows.schema[_KEY].dataType.simpleString()}" if extra else ""
-    current = stage(_binned(rows, features, cuts, start, extra, key_field), "binned", spread=True)
+    cuts = boosting.cut_points(rows, features, _WEIGHT, max_bins)
+    settings = boosting.Settings(
+        tuple(cuts), max_bins, power, rounds, max_depth, learning_rate,
+        trees.Penalty(alpha, ridge, min_child_weight, tuple(monotone or ())), subsample, colsample, seed,
+    )
+    current = stage(boosting.binned(rows, features, cuts, start, max_bins), "binned")
     release(rows)
-    penalty = trees.Penalty(alpha, ridge, min_child_weight, tuple(monotone or ()))
-    fitted: list[trees.Tree] = []
-    pending: list[tuple[trees.Grower, np.ndarray]] = []  # since the written margins
-    for i in range(rounds):
-        if pending and i % stage_every == 0:
-            new = stage(_moved(current, pending, len(features), key_field), "binned")
-            release(current)
-            current, pending = new, []
-        used = _pick(features, colsample, seed + i)
-        grower = trees.Grower(cuts, [features.index(c) for c in used], penalty)
-        drawn = hash_sample(current, _KEY, subsample, seed + i) if extra else current
-        for _ in range(max(1, max_depth)):
-            if not grower.open:
-                break
-            g, h = _histograms(drawn, pending, grower, len(features), max_bins, power)
-            grower.grow(g, h) if max_depth else None
-        tree = grower.tree(learning_rate)
-        fitted.append(tree)
-        pending.append((grower, np.array([n.value for n in tree.nodes])))
-    release(current)
+    fitted = boosting.fit(current, settings, tasks, stage_every, keep_every, resume)
     return BoostedModel(tuple(features), start, tuple(fitted), offset)
 
 
-def _binned(rows, features, cuts, start, extra, key_field) -> DataFrame:
-    """Start margins and the bins of all features as one byte string."""
-    n, names = len(features), [*_BINNED_NAMES, *([_KEY] if extra else [])]
-
-    def run(batches):
-        for b in batches:
-            bins = np.stack(
-                [np.searchsorted(c, b.column(k).to_numpy(), side="left") for k, c in enumerate(cuts)], axis=1
-            ).astype(np.uint8)
-            width = bins.shape[1]
-            flat = bins.tobytes()
-            items = [flat[k : k + width] for k in range(0, len(flat), width)]
-            offset = b.column(n + 2).to_numpy()
-            columns = [
-                pa.array(offset + start), b.column(n), b.column(n + 1),
-                pa.array(items, pa.binary()), *b.columns[n + 3 :],
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    ordered = rows.select(*features, _LABEL, _WEIGHT, _OFFSET, *extra)
-    return ordered.mapInArrow(run, _BINNED + key_field)
-
-
-_BINNED_NAMES = ("margin", "label", "weight", "bins")
-
-
-def _bins_of(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, width)
-
-
-def _margins(batch: pa.RecordBatch, bins: np.ndarray, pending) -> np.ndarray:
-    margin = batch.column(0).to_numpy().copy()
-    for grower, values in pending:
-        margin += values[grower.place(bins)]
-    return margin
-
-
-def _moved(current: DataFrame, pending, width: int, key_field: str) -> DataFrame:
-    """The next generation of margins."""
-
-    def run(batches):
-        for b in batches:
-            margin = pa.array(_margins(b, _bins_of(b, width), pending))
-            yield pa.RecordBatch.from_arrays([margin, *b.columns[1:]], names=b.schema.names)
-
-    return current.mapInArrow(run, _BINNED + key_field)
-
-
-def _histograms(current: DataFrame, pending, grower, width: int, max_bins: int, power: float):
-    """Sums of g and h by (open node, feature, bin)."""
-    shape = (len(grower.open), width, max_bins)
-
-    def run(batches):
-        place = np.full(len(grower.feature), -1)
-        place[grower.open] = np.arange(len(grower.open))
-        sums = np.zeros((2, *shape)).reshape(2, -1)
-        for b in batches:
-            bins = _bins_of(b, width)
-            g, h = _gradients(_margins(b, bins, pending), *(b.column(k).to_numpy() for k in (1, 2)), power)
-            node = place[grower.place(bins)]
-            kept = node >= 0
-            node, bins, g, h = node[kept], bins[kept], g[kept], h[kept]
-            for f in range(width):
-                cell = (node * width + f) * max_bins + bins[:, f]
-                sums[0] += np.bincount(cell, g, sums.shape[1])
-                sums[1] += np.bincount(cell, h, sums.shape[1])
-        at = np.flatnonzero(sums[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], names=["cell", "g", "h"]
-        )
-
-    parts = current.mapInArrow(run, "cell long, g double, h double")
-    out = np.zeros((2, math.prod(shape)))
-    # at most nodes x features x bins rows
-    for r in parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
-        out[0, r["cell"]], out[1, r["cell"]] = r["g"], r["h"]
-    return out[0].reshape(shape), out[1].reshape(shape)
-
-
-def _pick(features: list[str], fraction: float, seed: int) -> list[str]:
-    if fraction >= 1.0:
-        return features
-    chosen = set(random.Random(seed).sample(features, max(1, round(fraction * len(features)))))
-    return [c for c in features if c in chosen]
-
-
 def fit_tweedie(df: DataFrame, features, label, weight=None, offset=None, power=1.5, method="glm", **options) -> Model:
     """Fit by ``method``: ``glm`` or ``boost``; further options go to that fit."""
     fits = {"glm": fit_glm, "boost": fit_boosted}
@@ -401,24 +264,24 @@ def fit_tweedie(df: DataFrame, features, label, weight=None, offset=None, power=
 
 # --- saving -----------------------------------------------------------------------------------
 
-_TERMS = "kind string, tree int, node int, feature string, threshold double, `left` int, `right` int, value double, cover double"
+_TERMS = "kind string, tree int, node int, feature string, threshold double, `left` int, `right` int, value double, cover double, missing_left boolean"
 
 
 def model_table(spark: SparkSession, model: Model) -> DataFrame:
     """A model as rows: one per term of a linear model, one per node of an ensemble."""
     offset = model.offset
     if isinstance(model, LinearModel):
-        rows = [("intercept", None, None, offset, None, None, None, model.intercept, None)]
+        rows = [("intercept", None, None, offset, None, None, None, model.intercept, None, None)]
         rows += [
-            ("term", None, i, n, None, None, None, c, m)
+            ("term", None, i, n, None, None, None, c, m, None)
             for i, (n, c, m) in enumerate(zip(model.features, model.coefficients, model.means))
         ]
     else:
-        rows = [("start", None, None, offset, None, None, None, model.start, None)]
-        rows += [("feature", None, i, n, None, None, None, None, None) for i, n in enumerate(model.features)]
+        rows = [("start", None, None, offset, None, None, None, model.start, None, None)]
+        rows += [("feature", None, i, n, None, None, None, None, None, None) for i, n in enumerate(model.features)]
         rows += [
             ("node", t, i, model.features[n.feature] if n.feature >= 0 else None,
-             n.threshold, n.left, n.right, n.value, n.cover)
+             n.threshold, n.left, n.right, n.value, n.cover, n.missing_left)
             for t, tree in enumerate(model.trees)
             for i, n in enumerate(tree.nodes)
         ]
@@ -444,7 +307,7 @@ def load_model(spark: SparkSession, path: str) -> Model:
         if r["kind"] == "node":
             feature = names.index(r["feature"]) if r["feature"] else -1
             grown.setdefault(r["tree"], []).append(
-                trees.Node(feature, r["threshold"], r["left"], r["right"], r["value"], r["cover"])
+                trees.Node(feature, *(r[c] for c in ("threshold", "left", "right", "value", "cover", "missing_left")))
             )
     ordered = tuple(trees.Tree(tuple(grown[t])) for t in sorted(grown))
     return BoostedModel(names, head["value"], ordered, head["feature"])

@@ -83,27 +83,27 @@ def contrib_linear(spark, sf_dir):
     return tidy(model.contributions(rated, "o_orderkey", "exposure"), 5)
 
 
-def _stump_rounds_sql(rounds: int) -> str:
-    """Margins of boosted stumps on one 0/1 feature: one Newton step per level and round."""
+def _stump_rounds_sql(rounds: int, rated: str = "rated", feature: str = "flag") -> str:
+    """Margins of boosted trees on one feature, a leaf per level: one Newton step per level and round."""
     views = [
-        """
+        f"""
 m0 AS (
-  SELECT *, (SELECT ln(sum(exposure * target) / sum(exposure)) FROM rated) AS f,
+  SELECT *, (SELECT ln(sum(exposure * target) / sum(exposure)) FROM {rated}) AS f,
          0.0::DOUBLE AS v, 0.0::DOUBLE AS e
-  FROM rated)"""
+  FROM {rated})"""
     ]
     for i in range(1, rounds + 1):
         views.append(
             f"""
 s{i} AS (
-  SELECT flag, sum(exposure * (exp(0.5 * f) - target * exp(-0.5 * f))) AS g,
+  SELECT {feature}, sum(exposure * (exp(0.5 * f) - target * exp(-0.5 * f))) AS g,
          sum(exposure * (0.5 * exp(0.5 * f) + 0.5 * target * exp(-0.5 * f))) AS h
-  FROM m{i - 1} GROUP BY flag),
-l{i} AS (SELECT flag, h, -0.3::DOUBLE * g / (h + 1.0) AS leaf FROM s{i}),
+  FROM m{i - 1} GROUP BY {feature}),
+l{i} AS (SELECT {feature}, h, -0.3::DOUBLE * g / (h + 1.0) AS leaf FROM s{i}),
 x{i} AS (SELECT sum(h * leaf) / sum(h) AS expected FROM l{i}),
 m{i} AS (
   SELECT m.* REPLACE (m.f + leaf AS f, m.v + leaf AS v, m.e + expected AS e)
-  FROM m{i - 1} m JOIN l{i} USING (flag) CROSS JOIN x{i})"""
+  FROM m{i - 1} m JOIN l{i} l ON m.{feature} IS NOT DISTINCT FROM l.{feature} CROSS JOIN x{i})"""
         )
     return ",".join(views)
 
@@ -220,6 +220,73 @@ def contrib_tree(spark, sf_dir):
     return tidy(model.contributions(rated, "o_orderkey", "exposure"))
 
 
+# --- a feature with missing values, whose rows differ from all others ----------------------------
+
+_GAPPED_SQL = """
+gapped AS (
+  SELECT *, CASE o_orderpriority WHEN '2-HIGH' THEN NULL WHEN '1-URGENT' THEN 0 WHEN '5-LOW' THEN 0 ELSE 1 END AS x
+  FROM rated)"""
+_GAP_SIDES_SQL = """
+start AS (SELECT ln(sum(exposure * target) / sum(exposure)) AS f FROM gapped),
+sums AS (
+  SELECT x, sum(exposure * (exp(0.5 * f) - target * exp(-0.5 * f))) AS g,
+         sum(exposure * (0.5 * exp(0.5 * f) + 0.5 * target * exp(-0.5 * f))) AS h
+  FROM gapped, start GROUP BY x),
+options AS (
+  SELECT o.turn, s.x, s.g, s.h, CASE o.turn WHEN 1 THEN s.x IS NOT DISTINCT FROM 0
+         WHEN 2 THEN coalesce(s.x, 0) = 0 ELSE s.x IS NOT NULL END AS is_left
+  FROM sums s, (VALUES (1), (2), (3)) o(turn)),
+sides AS (SELECT turn, is_left, sum(g) AS g, sum(h) AS h FROM options GROUP BY turn, is_left),
+best AS (
+  SELECT turn FROM (SELECT turn, sum(g * g / (h + 1.0)) AS worth FROM sides GROUP BY turn)
+  ORDER BY worth DESC, turn LIMIT 1)"""
+
+
+def _gapped(spark, sf_dir):
+    """Missing is null for even keys, NaN for odd ones."""
+    priority = F.col("o_orderpriority")
+    gap = F.when(F.col("o_orderkey") % 2 == 0, None).otherwise(F.lit(float("nan")))
+    level = F.when(priority.isin("1-URGENT", "5-LOW"), 0.0).otherwise(1.0)
+    return _rated(spark, sf_dir).withColumn("x", F.when(priority == "2-HIGH", gap).otherwise(level))
+
+
+@query(
+    "tweedie_boost_missing",
+    with_views(FEATURES_SQL, POLICY_SQL, _RATED_SQL, _GAPPED_SQL, _GAP_SIDES_SQL)
+    + f"""
+SELECT r.o_orderkey, {_r('exp(f - 0.3 * s.g / (s.h + 1.0))', 4)} AS pred
+FROM gapped r, start, best b
+JOIN options o ON o.turn = b.turn AND o.x IS NOT DISTINCT FROM r.x
+JOIN sides s ON s.turn = b.turn AND s.is_left = o.is_left""",
+)
+def tweedie_boost_missing(spark, sf_dir):
+    """A stump on a feature with gaps: rows without a value go to the side that gains more, or alone."""
+    rated = _gapped(spark, sf_dir)
+    model = md.fit_tweedie(
+        rated, ["x"], "target", "exposure", method="boost", rounds=1, max_depth=1, learning_rate=0.3
+    )
+    return tidy(md.score(model, rated).select("o_orderkey", "pred"), 4)
+
+
+@query(
+    "contrib_missing",
+    with_views(
+        FEATURES_SQL, POLICY_SQL, _RATED_SQL, _GAPPED_SQL,
+        _stump_rounds_sql(3, "gapped", "x"),
+    )
+    + f"""
+SELECT o_orderkey, {_r('v - e', 6)} AS x, {_r('f - v + e', 6)} AS base_value, CAST(exposure AS DOUBLE) AS weight
+FROM m3""",
+)
+def contrib_missing(spark, sf_dir):
+    """Two levels of splits tell rows without a value from both others: a leaf for each of the three."""
+    rated = _gapped(spark, sf_dir)
+    model = md.fit_tweedie(
+        rated, ["x"], "target", "exposure", method="boost", rounds=3, max_depth=2, learning_rate=0.3, keep_every=2
+    )
+    return tidy(model.contributions(rated, "o_orderkey", "exposure"))
+
+
 _TREE_FEATURES = ("lvl_a", "lvl_b", "flag", "cont")
 
 

@@ -6,4 +6,4 @@ from liftworks.sources.files import (  # noqa: F401
     write_metrics,
     write_parquet,
 )
-from liftworks.sources.staging import fresh_dir, release, stage, staging_root  # noqa: F401
+from liftworks.sources.staging import exists, fresh_dir, release, stage, staging_root  # noqa: F401
