@@ -6,11 +6,13 @@ level from histograms of gradients (``trees.Grower``).
 
 Rounds run in one of two ways, which grow the same trees:
 
-* Resident: a barrier stage whose tasks hold their binned rows, margins and nodes in memory. Per level the
-  tasks exchange histograms by ``allGather`` and all grow the same tree, so rounds cost no jobs. After
-  ``keep_every`` rounds the stage ends and writes margins and trees; a lost executor repeats the rounds since
-  then. It needs all tasks at once, each with ``RESIDENT_BYTES`` for its rows at most, and every task reads
-  the histograms of all, which is why ``TASKS`` bounds their number.
+* Resident: a stage whose tasks hold their binned rows, margins and nodes in memory, so rounds cost no
+  jobs. There are as many tasks as the rows have ``SHARE`` bytes. Several tasks are a barrier stage: per
+  level they exchange histograms by ``allGather`` and all grow the same tree. Spark answers such a call
+  after one second at the earliest, which is why small inputs take one task and why a share is large.
+  After ``keep_every`` rounds the stage ends and writes margins and trees; a lost executor repeats the
+  rounds since then. A barrier stage needs all its tasks at once, each with ``RESIDENT_BYTES`` of rows at
+  most, and every task reads the histograms of all: ``TASKS`` bounds their number.
 * By jobs, for inputs beyond that (or ``tasks=0``): each level is one Spark aggregate of the histograms, and
   margins are written every ``stage_every`` rounds.
 
@@ -21,6 +23,7 @@ goes on from the last of them.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import json
 import math
@@ -32,7 +35,7 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import BarrierTaskContext, cloudpickle
+from pyspark import BarrierTaskContext, TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from liftworks.operators import summaries, trees
@@ -40,6 +43,8 @@ from liftworks.sources import exists, release, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes of rows for which another task pays.
+SHARE = 128 << 20
 #: Tasks of a barrier stage at most.
 TASKS = 16
 #: Bytes of rows a task of a barrier stage holds at most, about.
@@ -155,9 +160,10 @@ def fit(
 ) -> list[trees.Tree]:
     """Trees for the rows of ``current``, a staged table as ``binned`` makes it, which is released."""
     spark, width = current.sparkSession, len(settings.cuts)
+    size = current.count() * (width + 48)
     if tasks is None:
-        tasks = min(spark.sparkContext.defaultParallelism, TASKS)
-    resident = tasks and current.count() * (width + 48) <= tasks * RESIDENT_BYTES
+        tasks = min(spark.sparkContext.defaultParallelism, TASKS, size // SHARE + 1)
+    resident = tasks and size <= tasks * RESIDENT_BYTES
     step = keep_every if resident else stage_every
     work = _resident if resident else _by_jobs
     fitted: list[trees.Tree] = []
@@ -239,18 +245,21 @@ def _resident(current: DataFrame, settings: Settings, fitted: list[trees.Tree],
     width, first = len(settings.cuts), len(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = BarrierTaskContext.get()
+        context = BarrierTaskContext.get() if tasks > 1 else None
         rows = Rows([b for b in batches if b.num_rows], width)
         done = list(fitted)
         for turn in range(first, first + count):
-            grower, at = grown(rows, settings, turn, lambda sums: gathered(context, sums))
+            add = functools.partial(gathered, context) if context else lambda sums: sums
+            grower, at = grown(rows, settings, turn, add)
             rows.margin += grower.values(settings.rate)[at]
             done.append(grower.tree(settings.rate))
-        if context.partitionId() == 0:
+        if TaskContext.get().partitionId() == 0:
             yield _tree_row(done)
         yield from rows.batches()
 
     rows = current.filter("trees is null").repartition(tasks)
+    if tasks == 1:
+        return rows.mapInArrow(run, _BINNED)
     # shuffled on: Spark runs a barrier stage again only if no output has been committed from it
     return rows.mapInArrow(run, _BINNED, barrier=True).repartition(tasks)
 

@@ -18,7 +18,7 @@ from liftworks.operators.ordered import (
     ceil_rule,
     floor_rule,
     running_totals,
-    weighted_buckets,
+    bucket_sums,
     zero_if_missing,
 )
 from liftworks.sources import release, stage
@@ -152,9 +152,10 @@ def _decile_sums(
     df: DataFrame, weight: str, key: str, bins: int, facts: Sequence[str], rule, rows_per_range: int
 ) -> DataFrame:
     df, order = _missing_last(df, "pred", [key])
-    decile = weighted_buckets(df, order, F.col(weight), bins, rule, rows_per_range)
-    sums = dict.fromkeys([weight, *facts])
-    return df.groupBy(decile.alias("decile")).agg(*[F.sum(c).alias(c) for c in sums])
+    score = F.when(F.col("__missing") == 1, float("inf")).otherwise(F.col("pred").cast("double"))
+    sums = list(dict.fromkeys([weight, *facts]))
+    found = bucket_sums(df, order, score, F.col(weight), bins, sums, rule, rows_per_range)
+    return found.withColumnRenamed("bucket", "decile")
 
 
 def lift(

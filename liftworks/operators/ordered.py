@@ -13,8 +13,12 @@ results.
   changes (decile cuts, quantiles). Range totals show which ranges hold a step; only those are
   sorted, everything else is a map-side aggregate.
 
-These operators start jobs while the plan is being built and read their input up to four times:
-``stage`` an input that is costly to compute.
+* ``condensed`` makes ``crossings`` cheap on a large table: a weighted quantile summary brackets the steps, a
+  second read keeps the rows inside the brackets and adds up all others. ``bucket_sums`` and
+  ``quantiles`` read their input twice by it.
+
+The others start jobs while the plan is being built and read their input up to four times: ``stage`` an
+input that is costly to compute.
 """
 
 from __future__ import annotations
@@ -25,9 +29,11 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from liftworks.functions import missing_to_null
+from liftworks.operators import summaries
 from liftworks.sources import release, stage
 
 ROWS_PER_RANGE = 250_000
@@ -326,6 +332,113 @@ def weighted_buckets(
     return crossings(df, order, weight, rule(bins), rows_per_range).level()
 
 
+# --- brackets ---------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Brackets:
+    """Stretches of a score, alternately without a step and with one inside.
+
+    ``upto`` are the stretches' upper ends, the last one is open; ``inside`` says which may hold steps.
+    """
+
+    upto: tuple[float, ...]
+    inside: tuple[int, ...]
+
+    def stretch(self, score: Column) -> Column:
+        out = F.lit(len(self.upto))
+        for i in reversed(range(len(self.upto))):
+            out = F.when(score <= self.upto[i], i).otherwise(out)
+        return out
+
+
+Rule = Callable[[Column, Column], Column]
+
+
+def bracket_steps(
+    df: DataFrame, score: str, weight: str, rule: Rule | Callable[[float], Rule], size: int, by_total: bool = False
+) -> Brackets:
+    """Stretches of ``score`` outside of which ``rule`` does not step.
+
+    One read of ``df``: the rank bounds of a weighted summary say between which running weights the rows
+    of each stretch lie.
+    """
+    found = summaries.summarise(df, [score], weight, size)[0]
+    if not len(found):
+        return Brackets((), ())
+    total = float(found[-1, 3])
+    if by_total:
+        rule = rule(total)
+    margin = 1e-9 * total  # of adding doubles
+    before = np.maximum(np.concatenate([[0.0], found[:-1, 1] + found[:-1, 2]]) - margin, 0.0)
+    upto = np.minimum(found[:, 3] + margin, total)
+    spark = df.sparkSession
+    spans = spark.createDataFrame(list(zip(range(len(found)), before.tolist(), upto.tolist())), "i int, a double, b double")
+    steps = spans.select("i", (rule(F.col("a"), F.lit(total)) != rule(F.col("b"), F.lit(total))).alias("step"))
+    step = np.zeros(len(found), dtype=bool)
+    for r in steps.collect():  # one row per value of the summary
+        step[r["i"]] = r["step"]
+    ends = [i for i in range(len(found)) if i + 1 == len(found) or step[i] != step[i + 1]]
+    values = [float(found[i, 0]) for i in ends]
+    return Brackets(tuple(values), tuple(k for k, i in enumerate(ends) if step[i]))
+
+
+def condensed(
+    df: DataFrame,
+    order: Sequence[str],
+    score: Column,
+    weight: Column,
+    rule: Rule | Callable[[float], Rule],
+    sums: Sequence[str] = (),
+    size: int = summaries.SIZE,
+    by_total: bool = False,
+) -> DataFrame:
+    """A small written table (row, w, least, sums) on which ``rule`` steps at the same rows as on ``df``.
+
+    ``score`` must not decrease along ``order``. Two reads of ``df``: a summary brackets the steps, then one
+    aggregate keeps the rows inside the brackets and adds up all others by stretch, each under its
+    last row. With ``by_total``, ``rule`` is made from the total weight.
+    """
+    narrow = df.select(*order, *[c for c in sums if c not in order], weight.alias("__w"), score.cast("double").alias("__s"))
+    narrow = narrow.withColumn("__w", zero_if_missing(narrow, "__w"))
+    if isinstance(narrow.schema["__w"].dataType, (T.DoubleType, T.FloatType)):
+        narrow = narrow.withColumn("__w", F.col("__w").cast(f"decimal(28,{WEIGHT_DIGITS})"))
+    brackets = bracket_steps(narrow, "__s", "__w", rule, size, by_total)
+    stretch = brackets.stretch(F.col("__s"))
+    row = F.struct(*order)
+    own = F.when(stretch.isin(*brackets.inside), row) if brackets.inside else F.lit(None).cast(narrow.select(row.alias("r")).schema["r"].dataType)
+    added = narrow.groupBy(stretch.alias("stretch"), own.alias("own")).agg(
+        F.max(row).alias("row"), F.sum("__w").alias("w"), F.min("__w").alias("least"), *[F.sum(c).alias(f"sum_{c}") for c in sums]
+    )
+    return stage(added.drop("stretch", "own"), "brackets")
+
+
+def bucket_sums(
+    df: DataFrame,
+    order: Sequence[str],
+    score: Column,
+    weight: Column,
+    bins: int,
+    sums: Sequence[str],
+    rule: Callable[[int], Callable[[Column, Column], Column]] = ceil_rule,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """(bucket, sums): weighted quantile buckets along ``order`` and the sums of each.
+
+    The same buckets as ``weighted_buckets``, from two reads of ``df``.
+    """
+    small = condensed(df, order, score, weight, rule(bins), sums)
+    least = small.agg(F.min("least")).first()[0]
+    if least is not None and least < 0:
+        raise ValueError("weights must be >= 0")
+    rows = small.select("row.*", "w", *[f"sum_{c}" for c in sums])
+    bucket = crossings(rows, order, F.col("w"), rule(bins), rows_per_range).level()
+    kinds = df.select(*[F.sum(c).alias(c) for c in sums]).schema
+    return rows.groupBy(bucket.alias("bucket")).agg(
+        *[F.sum(f"sum_{c}").cast(kinds[c].dataType).alias(c) for c in sums]
+    )
+
+
 # --- smallest rows ----------------------------------------------------------------------------
 
 
@@ -357,29 +470,28 @@ def quantiles(
 ) -> list[float]:
     """Exact quantiles with linear interpolation, missing values left out.
 
-    Works on distinct values with counts, so a frequent value is one row.
+    Ranks are bracketed by a summary, so only values near the wanted ones are sorted; two reads of ``df``.
     """
     col = missing_to_null(F.col(value), df.schema[value].dataType).cast("double")
-    counts = stage(
-        df.select(col.alias("v"))
-        .filter(F.col("v").isNotNull())
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "value_counts",
-    )
-    n = counts.agg(F.sum("n")).first()[0]
-    if not n:
-        release(counts)
-        return [math.nan] * len(probabilities)
-    spots = [(n - 1) * p for p in probabilities]
-    ranks = sorted({r + 1 for s in spots for r in (math.floor(s), math.ceil(s))})
+    known = df.select(col.alias("v")).filter(F.col("v").isNotNull())
+    spots: list[float] = []
+    ranks: list[int] = []
 
     def rule(running: Column, total: Column) -> Column:
         wanted = F.array(*[F.lit(rank) for rank in ranks])
         return F.size(F.filter(wanted, lambda rank: rank <= running))
 
-    found = crossings(counts, ["v"], F.col("n"), rule, rows_per_range)
-    release(counts)
+    def of_total(n: float) -> Callable[[Column, Column], Column]:
+        spots[:] = [(n - 1) * p for p in probabilities]
+        ranks[:] = sorted({int(r) + 1 for s in spots for r in (math.floor(s), math.ceil(s))})
+        return rule
+
+    small = condensed(known, ["v"], F.col("v"), F.lit(1).cast("long"), of_total, by_total=True)
+    if not ranks:
+        release(small)
+        return [math.nan] * len(probabilities)
+    found = crossings(small.select("row.v", "w"), ["v"], F.col("w"), rule, rows_per_range)
+    release(small)
     value_at = {rank: found.at(i + 1)["v"] for i, rank in enumerate(ranks)}
     out = []
     for spot in spots:

@@ -164,3 +164,54 @@ def test_few_large_ranges_are_as_right(spark, monkeypatch):
     assert {r["k"]: r["c"] for r in got} == brute_running(rows)
     bucket = o.weighted_buckets(df, ["p", "k"], F.col("w"), 10, rows_per_range=10)
     assert {r["k"]: r["b"] for r in df.select("k", bucket.alias("b")).collect()} == brute_deciles(rows, 10, o.ceil_rule)
+
+
+def test_bucket_sums_equal_buckets_row_by_row(spark):
+    """Ties over a third of the rows, zero and missing weights, missing scores, fractional weights."""
+    df = spark.range(6000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 50 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(997)) / 10.0).alias("p"),
+        F.when(F.col("id") % 7 == 0, 0.0).when(F.col("id") % 11 == 0, None).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) / 8.0).alias("w"),
+        (F.col("id") % 13).cast("decimal(12,2)").alias("f"),
+    )
+    df = df.withColumn("none", F.col("p").isNull().cast("int"))
+    order = ["none", "p", "k"]
+    score = F.when(F.col("none") == 1, float("inf")).otherwise(F.col("p"))
+    for rule in (o.ceil_rule, o.floor_rule):
+        bucket = o.weighted_buckets(df, order, F.col("w"), 10, rule)
+        plain = df.groupBy(bucket.alias("bucket")).agg(F.sum("w").alias("w"), F.sum("f").alias("f"))
+        for size in (o.summaries.SIZE, 40):
+            small = o.condensed(df, order, score, F.col("w"), rule(10), size=size)
+            assert small.count() < (6000 if size == 40 else 2600)
+        for rows_per_range in (o.ROWS_PER_RANGE, 200):
+            got = o.bucket_sums(df, order, score, F.col("w"), 10, ["w", "f"], rule, rows_per_range)
+            assert got.schema["f"].dataType == plain.schema["f"].dataType
+            a, b = (sorted(map(tuple, x.collect())) for x in (plain, got))
+            assert [(r[0], round(r[1], 6), r[2]) for r in a] == [(r[0], round(r[1], 6), r[2]) for r in b]
+
+
+def reads(spark, work):
+    """How many jobs' stages read the table that ``work`` gets."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(20_000).select(
+        F.col("id").alias("k"), (F.pmod(F.xxhash64("id"), F.lit(10**6)) / 7.0).alias("p"), F.lit(1.5).alias("w")
+    )
+    work(df.mapInArrow(count, df.schema))
+    return seen.value / 20_000
+
+
+def test_buckets_and_quantiles_read_their_input_twice(spark):
+    def buckets(df):
+        o.bucket_sums(df, ["p", "k"], F.col("p"), F.col("w"), 10, ["w"], rows_per_range=500).collect()
+
+    assert reads(spark, buckets) == 2
+    assert reads(spark, lambda df: o.quantiles(df, "p", [0.1, 0.5, 0.9], rows_per_range=500)) == 2
+    # what is sorted is a small part of the rows
+    df = spark.range(20_000).select(F.col("id").alias("k"), (F.pmod(F.xxhash64("id"), F.lit(10**6)) / 7.0).alias("p"))
+    assert o.condensed(df, ["p", "k"], F.col("p"), F.lit(1), o.ceil_rule(10)).count() < 2000
