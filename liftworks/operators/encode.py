@@ -1,8 +1,7 @@
 """Feature encoding: fit on training rows, apply as one projection.
 
-Fitting profiles all columns in two wide aggregates: ranges with approximate distinct counts first,
-then exact distinct values of the columns that can still pass the guard. What reaches the driver
-is bounded by the guard. Transforming is a single ``select`` without a shuffle; only label codes of
+Fitting profiles all columns in one pass (``profiles``): sets of values up to the guard, ranges, and
+sketches beyond. What is shuffled and what reaches the driver is bounded by the guard. Transforming is a single ``select`` without a shuffle; only label codes of
 text columns with many categories are joined, from a table of (category, code) made in Spark.
 """
 
@@ -23,6 +22,7 @@ from liftworks.functions import (
 )
 from liftworks.operators.catalog import always_excluded, numeric_columns, text_columns
 from liftworks.operators.ordered import running_totals
+from liftworks.operators.profiles import Profile, profile
 from liftworks.sources import stage
 
 # Level groups of the binary encodings.
@@ -33,6 +33,7 @@ LOW_0_1_4 = ({0, 1, 4}, {3, 5})
 SCHEMES = ("ordinal", "binary", "mapped", "custom")
 BROADCAST_CODES = 200_000  # rows of a code table, some MB
 MAX_UNIQUE = 100
+MAX_DISTINCT = 7
 
 
 # --- profiling --------------------------------------------------------------------------------
@@ -43,46 +44,35 @@ def _long(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs)))
 
 
+def _number(df: DataFrame, c: str) -> Column:
+    return missing_to_null(F.col(c), df.schema[c].dataType).cast("double")
+
+
+def _is_ordinal(found: Profile, lo: float = 0, hi: float = 5, max_distinct: int = 7) -> bool:
+    """At most ``max_distinct`` values, at least one, all within lo..hi."""
+    return bool(found.values) and len(found.values) <= max_distinct and found.lo >= lo and found.hi <= hi
+
+
 def detect_ordinal(
-    df: DataFrame, columns: Sequence[str], lo: float = 0, hi: float = 5, max_distinct: int = 7
+    df: DataFrame, columns: Sequence[str], lo: float = 0, hi: float = 5, max_distinct: int = MAX_DISTINCT
 ) -> DataFrame:
-    """``(field, is_ordinal)``: at most ``max_distinct`` distinct values, all within lo..hi.
+    """``(field, is_ordinal)``: at most ``max_distinct`` distinct values, all within lo..hi."""
+    found = profile(df, {c: _number(df, c) for c in columns}, {}, max_distinct, 0)
+    rows = [(c, _is_ordinal(found[c], lo, hi, max_distinct)) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "field string, is_ordinal boolean")
 
-    Ranges and approximate counts rule most columns out; exact counts are taken for the rest.
-    """
-    spark = df.sparkSession
-    values = {
-        c: missing_to_null(F.col(c), df.schema[c].dataType).cast("double") for c in columns
-    }
-    if not values:
-        return spark.createDataFrame([], "field string, is_ordinal boolean")
-    seen = df.agg(
-        *[F.min(v).alias(f"lo_{c}") for c, v in values.items()],
-        *[F.max(v).alias(f"hi_{c}") for c, v in values.items()],
-        *[F.approx_count_distinct(v).alias(f"n_{c}") for c, v in values.items()],
-    ).first()
-    likely = [
-        c
-        for c in columns
-        if seen[f"lo_{c}"] is not None
-        and seen[f"lo_{c}"] >= lo
-        and seen[f"hi_{c}"] <= hi
-        and seen[f"n_{c}"] <= 2 * max_distinct
-    ]
-    fields = spark.createDataFrame([(c,) for c in columns], "field string")
-    if not likely:
-        return fields.withColumn("is_ordinal", F.lit(False))
-    # bounded by the approximate counts: sets of about 2 * max_distinct values
-    counts = df.agg(*[F.size(F.collect_set(values[c])).alias(c) for c in likely])
-    exact = counts.unpivot([], likely, "field", "n")
-    return fields.join(exact, "field", "left").select(
-        "field", F.coalesce(F.col("n") <= max_distinct, F.lit(False)).alias("is_ordinal")
-    )
+
+def guard_report(df: DataFrame, columns: Sequence[str], max_unique: int = MAX_UNIQUE) -> DataFrame:
+    """``(field, n_unique, exact, safe)``: exact counts up to ``max_unique``, estimates above; missing not
+    counted. One pass whose shuffle does not grow with the distinct values."""
+    found = profile(df, {}, {c: F.col(c).cast("string") for c in columns}, 0, max_unique)
+    rows = [(c, round(p.distinct), p.values is not None, p.values is not None) for c, p in found.items()]
+    return df.sparkSession.createDataFrame(rows, "field string, n_unique bigint, exact boolean, safe boolean")
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], max_unique: int = MAX_UNIQUE) -> DataFrame:
-    """``(field, n_unique, safe)``: exact distinct counts are wanted, so distinct values are shuffled;
-    missing not counted."""
+    """``(field, n_unique, safe)``: a report of exact counts whatever their size, which shuffles distinct
+    values; missing not counted. Fits use ``profiles``, and ``guard_report`` estimates counts above the guard."""
     if not columns:
         return df.sparkSession.createDataFrame([], "field string, n_unique bigint, safe boolean")
     pairs = _long(df, {c: F.col(c).cast("string") for c in columns})
@@ -98,18 +88,19 @@ def fit_categories(
     Missing is the category ``nan`` and does not count towards the guard.
     """
     values = columns if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
-    if not values:
-        return {}
-    texts = {n: text_or_nan(c) for n, c in values.items()}
-    rough = df.agg(*[F.approx_count_distinct(t).alias(n) for n, t in texts.items()]).first()
-    # the estimate only keeps sets small: its error is some percent, not a factor of three
-    likely = {n: t for n, t in texts.items() if rough[n] <= 3 * max_unique + 10}
-    if not likely:
-        return {}
-    # bounded by the approximate counts: sets of about 3 * max_unique values
-    found = df.agg(*[F.sort_array(F.collect_set(t)).alias(n) for n, t in likely.items()]).first()
+    return _categories(profile(df, {}, _texts(values), 0, max_unique + 1), values, max_unique)
+
+
+def _texts(values: Mapping[str, Column]) -> dict[str, Column]:
+    return {n: text_or_nan(c) for n, c in values.items()}
+
+
+def _categories(found: Mapping[str, Profile], names, max_unique: int) -> dict[str, list[str]]:
+    """Categories from profiles whose guard is one more, for ``nan``."""
     return {
-        n: found[n] for n in likely if len([v for v in found[n] if v != "nan"]) <= max_unique
+        n: list(found[n].values)
+        for n in names
+        if found[n].values is not None and len([v for v in found[n].values if v != "nan"]) <= max_unique
     }
 
 
@@ -263,17 +254,18 @@ def fit_encoder(
         _refuse(skipped, on_wide, max_unique)
         return EncoderState(scheme, tuple(steps), white, tuple(skipped), tables)
 
-    ordinal: set[str] = set()
-    if scheme in ("binary", "custom"):
-        found = detect_ordinal(df, numeric).filter("is_ordinal").collect()  # one row per column
-        ordinal = {r["field"] for r in found}
+    levels = numeric if scheme in ("binary", "custom") else []
+    found = profile(
+        df, {c: _number(df, c) for c in levels}, _texts({c: F.col(c) for c in text}), MAX_DISTINCT, max_unique + 1
+    )
+    ordinal = {c for c in levels if _is_ordinal(found[c])}
     low, high = LOW_0_2 if scheme == "binary" else LOW_0_1_4
     kind = "binary" if scheme == "binary" else "custom"
     steps = [
         Step(c, kind, frozenset(low), frozenset(high)) if c in ordinal else Step(c, "pass")
         for c in numeric
     ]
-    categories = fit_categories(df, text, max_unique)
+    categories = _categories(found, text, max_unique)
     steps += [Step(c, "one_hot", categories=tuple(categories[c])) for c in text if c in categories]
     skipped = tuple(c for c in text if c not in categories)
     _refuse(skipped, on_wide, max_unique)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from liftworks.functions import binary_map, one_hot, remap_level
 from liftworks.operators import condition as con
 from liftworks.operators import encode as enc
+from liftworks.operators import profiles
 from liftworks.plans import bindings as b
 from liftworks.plans.registry.core import FEATURES_SQL, query, r6, tidy, with_views
 
@@ -109,6 +110,28 @@ def cardinality_guard(spark, sf_dir):
     return enc.cardinality(b.features(spark, sf_dir), _TEXTS)
 
 
+@query(
+    "guard_report",
+    with_views(FEATURES_SQL)
+    + " UNION ALL ".join(
+        f"""
+SELECT '{c}' AS field, least(count(DISTINCT {c}), 101) AS n_unique,
+       count(DISTINCT {c}) <= 100 AS exact, true AS near FROM features"""
+        for c in _TEXTS
+    ),
+)
+def guard_report(spark, sf_dir):
+    """Exact counts up to the guard; above it, whether the estimate lies within four standard errors."""
+    df = b.features(spark, sf_dir)
+    report = enc.guard_report(df, _TEXTS).join(
+        enc.cardinality(df, _TEXTS).select("field", F.col("n_unique").alias("true_count")), "field"
+    )
+    error = 4 * 1.04 / 2 ** (profiles.BITS / 2)
+    near = F.abs(F.col("n_unique") - F.col("true_count")) <= F.when(F.col("exact"), 0.0).otherwise(error * F.col("true_count"))
+    count = F.when(F.col("exact"), F.col("n_unique")).otherwise(F.lit(101).cast("long"))
+    return report.select("field", count.alias("n_unique"), "exact", near.alias("near"))
+
+
 @query(
     "one_hot",
     with_views(FEATURES_SQL)
