@@ -51,11 +51,8 @@ def metadata_csv(spark, sf_dir):
         F.concat_ws("\n", F.concat(F.lit("# "), "c_name"), F.concat_ws(",", "c_custkey", "c_mktsegment")).alias("v")
     )
     path = fresh_dir(spark, "sheet")
-    rows.write.text(f"{path}/body")
-    lines = spark.read.text(f"{path}/body")
-    head = spark.createDataFrame([("column_name,category",)], lines.schema)
-    lines.unionByName(head).coalesce(1).orderBy(F.col("value") != "column_name,category").write.text(f"{path}/sheet")
-    return read_metadata_csv(spark, f"{path}/sheet")
+    rows.write.text(path)
+    return read_metadata_csv(spark, path, ["column_name", "category"])
 
 
 @query(

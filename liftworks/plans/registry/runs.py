@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from liftworks.operators import assemble as asm
@@ -53,6 +55,58 @@ def staged_run_log(spark, sf_dir):
     return log.select("experiment", "stage", "status", "rows")
 
 
+@query(
+    "staged_rerun_log",
+    with_views(POLICY_SQL)
+    + """,
+n AS (SELECT count(*) AS a, count(*) FILTER (fold = 6) AS t FROM policy)
+SELECT r.run, s.stage,
+       CASE WHEN r.run = 'same' OR r.run = 'model' AND s.stage < 'stage_05' THEN 'reused'
+            WHEN r.run = 'table' AND s.stage = 'stage_05' THEN 'stale' ELSE 'success' END AS status,
+       CASE WHEN r.run = 'table' AND s.stage = 'stage_05' THEN -1
+            WHEN s.stage = 'stage_03' THEN 6 + (SELECT count(DISTINCT fold) FROM policy)
+            WHEN s.stage = 'stage_05' THEN t ELSE a END AS rows
+FROM n, (VALUES ('first'), ('same'), ('model'), ('table')) AS r(run),
+  (VALUES ('stage_01'), ('stage_02'), ('stage_03'), ('stage_04'), ('stage_05')) AS s(stage)""",
+)
+def staged_rerun_log(spark, sf_dir):
+    """Four runs of one experiment up to its fit: the first, one with nothing changed, one with another
+    model, and one after the input table was written anew, with the fit switched off."""
+    off = {"stage_06": False, "stage_07": False}
+    cfg = _experiment(spark, sf_dir, stages=off)
+    out = None
+    for run in ("first", "same", "model", "table"):
+        if run == "model":
+            cfg = replace(cfg, model=cfg.model | {"rounds": 1})
+        if run == "table":
+            cfg = replace(cfg, stages=off | {"stage_05": False})
+            spark.read.parquet(cfg.aux).write.parquet(f"{cfg.aux}_copy")
+            spark.read.parquet(f"{cfg.aux}_copy").write.mode("overwrite").parquet(cfg.aux)
+        log = stages.run_stages(spark, cfg, reuse=True).filter("stage <= 'stage_05'").select(
+            F.lit(run).alias("run"), "stage", "status", F.coalesce("rows", F.lit(-1)).alias("rows")
+        )
+        out = log if out is None else out.unionByName(log)
+    return out
+
+
+@query(
+    "experiments_log",
+    with_views(POLICY_SQL)
+    + """,
+n AS (SELECT count(*) AS a FROM policy)
+SELECT e.name AS experiment, s.stage, 'success' AS status, a AS rows
+FROM n, (VALUES ('first'), ('second'), ('third')) AS e(name), (VALUES ('stage_01'), ('stage_02')) AS s(stage)
+UNION ALL SELECT 'lost', 'stage_01', 'failed', -1""",
+)
+def experiments_log(spark, sf_dir):
+    """Four experiments side by side, one of which has no input."""
+    cfg = _experiment(spark, sf_dir, stages={f"stage_0{k}": False for k in range(3, 8)})
+    runs = [replace(cfg, name=n, output=f"{cfg.output}_{n}") for n in ("first", "second", "third")]
+    runs.insert(1, replace(cfg, name="lost", output=f"{cfg.output}_lost", aux=f"{cfg.aux}_nowhere"))
+    log = stages.run_all(spark, runs, at_once=3).filter("status != 'skipped'")
+    return log.select("experiment", "stage", "status", F.coalesce("rows", F.lit(-1)).alias("rows"))
+
+
 def _errors(alias: str, pred: str) -> str:
     return f"""
 {alias} AS (

@@ -6,9 +6,13 @@ again alone. Stages return the number of rows they produced.
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from liftworks.operators import assemble as asm
@@ -17,6 +21,7 @@ from liftworks.operators import condition as con
 from liftworks.operators import evaluate as ev
 from liftworks.operators import explain as ex
 from liftworks.operators import model as md
+from liftworks.plans import manifests
 from liftworks.plans.config import STAGES, Config, load_config
 from liftworks.sources import read_parquet, write_csv, write_metrics, write_parquet
 from liftworks.sources.files import predictions
@@ -164,44 +169,113 @@ STAGE_FUNCTIONS: dict[str, Callable[[SparkSession, Config], int]] = dict(
 _LOG = "experiment string, stage string, status string, rows bigint, seconds double, error string"
 
 
-def run_stages(spark: SparkSession, cfg: Config) -> DataFrame:
+@dataclass(frozen=True)
+class Stop:
+    """The tag of an experiment's jobs, and whether its time is up."""
+
+    tag: str
+    reached: threading.Event = field(default_factory=threading.Event)
+
+
+def run_stages(
+    spark: SparkSession, cfg: Config, reuse: bool = False, stop: Stop | None = None
+) -> DataFrame:
     """Run the enabled stages in order; returns and appends the run log.
 
-    A failed stage ends the run if the configuration says so; stages after it are not logged.
+    A failed stage ends the run if the configuration says so; stages after it are not logged. With
+    ``reuse``, stages whose settings, inputs and outputs are as their manifest says are ``reused``, and
+    disabled ones that are not are ``stale`` rather than ``skipped``. Once ``stop`` is set, the stage that
+    runs is logged as ``timeout`` and ends the run.
     """
     log = []
     for name, run in STAGE_FUNCTIONS.items():
+        began = time.monotonic()
+        rows = manifests.current(spark, cfg, name) if reuse else None
         if not cfg.enabled(name):
-            log.append((cfg.name, name, "skipped", None, 0.0, None))
+            stale = reuse and rows is None
+            log.append((cfg.name, name, "stale" if stale else "skipped", None, 0.0, None))
+            continue
+        if rows is not None:
+            log.append((cfg.name, name, "reused", rows, time.monotonic() - began, None))
             continue
-        began = time.monotonic()
         try:
+            inputs = manifests.inputs_of(spark, cfg, name)
             rows, status, error = run(spark, cfg), "success", None
+            if stop is None or not stop.reached.is_set():
+                manifests.commit(spark, cfg, name, inputs, rows)
         except Exception as err:  # the log records what went wrong
             rows, status, error = None, "failed", str(err)
+        if stop is not None and stop.reached.is_set():
+            rows, status, error = None, "timeout", "stopped at the time limit"
+            spark.sparkContext.removeJobTag(stop.tag)  # the log below is not to be cancelled
         log.append((cfg.name, name, status, rows, time.monotonic() - began, error))
-        if status == "failed" and cfg.stop_on_error:
+        if status == "timeout" or status == "failed" and cfg.stop_on_error:
             break
     frame = spark.createDataFrame(log, _LOG).coalesce(1)
     frame.write.mode("append").parquet(_at(cfg, "run_log"))
     return frame
 
 
-def run_all(spark: SparkSession, configs: Sequence[Config | str]) -> DataFrame:
-    """Run several experiments one after the other; a failure does not stop the next one."""
+#: Seconds an experiment may take, as in the surveyed batch runner.
+LIMIT = 3600.0
+#: Seconds a stopped experiment has to notice it.
+GRACE = 30.0
+
+
+def run_all(
+    spark: SparkSession, configs: Sequence[Config | str], limit: float = LIMIT, at_once: int = 2, reuse: bool = False
+) -> DataFrame:
+    """Run several experiments, ``at_once`` side by side; a failure does not stop the others.
+
+    Each has a thread, a job tag and a scheduler pool of its own. After ``limit`` seconds its jobs are
+    cancelled by tag, again and again until the thread ends, and its stage is logged as ``timeout``. One that
+    runs no job then, and so cannot be cancelled, is left after ``GRACE`` seconds with a log line of its own.
+    """
+    loaded = [load_config(c) if isinstance(c, str) else c for c in configs]
+    logs: list[DataFrame | None] = [None] * len(loaded)
+    waiting = list(range(len(loaded)))
+    running: dict[int, tuple[InheritableThread, Stop, float]] = {}
+
+    def work(i: int, stop: Stop) -> None:
+        sc = spark.sparkContext
+        sc.addJobTag(stop.tag)
+        sc.setLocalProperty("spark.scheduler.pool", stop.tag)
+        try:
+            logs[i] = run_stages(spark, loaded[i], reuse, stop)
+        except Exception as err:  # whatever is outside the stages
+            logs[i] = spark.createDataFrame([(loaded[i].name, "run", "failed", None, 0.0, str(err))], _LOG)
+        finally:
+            sc.removeJobTag(stop.tag)
+
+    while waiting or running:
+        while waiting and len(running) < max(1, at_once):
+            i, stop = waiting.pop(0), Stop(f"experiment-{uuid.uuid4().hex}")
+            thread = InheritableThread(target=work, args=(i, stop), daemon=True)
+            thread.start()
+            running[i] = (thread, stop, time.monotonic())
+        time.sleep(0.05)
+        for i, (thread, stop, began) in list(running.items()):
+            took = time.monotonic() - began
+            if not thread.is_alive():
+                del running[i]
+            elif took > limit + GRACE:
+                line = (loaded[i].name, "run", "timeout", None, took, "left running outside of Spark")
+                logs[i] = spark.createDataFrame([line], _LOG)
+                del running[i]
+            elif took > limit:
+                stop.reached.set()
+                spark.sparkContext.cancelJobsWithTag(stop.tag)
+                time.sleep(0.2)
     out = None
-    for cfg in configs:
-        log = run_stages(spark, load_config(cfg) if isinstance(cfg, str) else cfg)
+    for log in logs:
         out = log if out is None else out.unionByName(log)
-    if out is None:
-        return spark.createDataFrame([], _LOG)
-    return out
+    return spark.createDataFrame([], _LOG) if out is None else out
 
 
 def run_summary(log: DataFrame) -> DataFrame:
     """Stages per experiment by outcome, and the total time."""
     return log.groupBy("experiment").agg(
-        *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in ("success", "failed", "skipped")],
+        *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in ("success", "failed", "skipped", "reused", "stale", "timeout")],
         F.sum("seconds").alias("seconds"),
     )
 

@@ -251,3 +251,20 @@ def test_settings_sheet(spark):
     assert names(mono, "field") == ["vc_a"]
     text = st.constraint_text(st.monotone_directions(spark, ["vc_c", "vc_a", "vc_b"], table, options), ["vc_b", "vc_a", "vc_c"])
     assert text.first()["constraints"] == "(0, 1, 1)"
+
+
+def test_metadata_in_parts(spark, tmp_path):
+    lines = spark.range(0, 40, 1, 4).select(F.concat(F.lit("# a\n"), "id", F.lit(",x")).alias("v"))
+    lines.write.text(f"{tmp_path}/sheet")
+    got = sources.read_metadata_csv(spark, f"{tmp_path}/sheet", ["n", "kind"])
+    assert got.dtypes == [("n", "string"), ("kind", "string")] and got.rdd.getNumPartitions() >= 1
+    assert sorted(int(r["n"]) for r in got.collect()) == list(range(40))
+
+
+def test_reports_have_a_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources.files, "REPORT_ROWS", 30)
+    sources.write_csv(spark.range(30), f"{tmp_path}/fits")
+    assert len(list((tmp_path / "fits").glob("part-*"))) == 1
+    assert spark.read.csv(f"{tmp_path}/fits", header=True).count() == 30
+    with pytest.raises(Exception, match="at most 30 rows"):
+        sources.write_csv(spark.range(31), f"{tmp_path}/over")
