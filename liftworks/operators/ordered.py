@@ -430,13 +430,17 @@ def bucket_sums(
     small = condensed(df, order, score, weight, rule(bins), sums)
     least = small.agg(F.min("least")).first()[0]
     if least is not None and least < 0:
+        release(small)
         raise ValueError("weights must be >= 0")
     rows = small.select("row.*", "w", *[f"sum_{c}" for c in sums])
     bucket = crossings(rows, order, F.col("w"), rule(bins), rows_per_range).level()
     kinds = df.select(*[F.sum(c).alias(c) for c in sums]).schema
-    return rows.groupBy(bucket.alias("bucket")).agg(
+    found = rows.groupBy(bucket.alias("bucket")).agg(
         *[F.sum(f"sum_{c}").cast(kinds[c].dataType).alias(c) for c in sums]
     )
+    out = df.sparkSession.createDataFrame(found.collect(), found.schema)  # one row per bucket
+    release(small)
+    return out
 
 
 # --- smallest rows ----------------------------------------------------------------------------

@@ -1,4 +1,7 @@
 import json
+import shutil
+import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +158,50 @@ def test_comparison(spark):
     b = stages.metrics_long(spark.createDataFrame([(4.0, 5)], "mae double, size int"))
     rows = {r["metric"]: r["difference"] for r in stages.compare_metrics(a, b).collect()}
     assert rows == {"mae": 3.0, "size": 0.0}
+
+
+def test_a_slow_experiment_is_stopped_and_others_complete(spark, inputs, tmp_path, monkeypatch):
+    whole = stages.STAGE_FUNCTIONS["stage_01"]
+
+    def slow(session, cfg):
+        if cfg.name == "slow":
+            def wait(batches):
+                time.sleep(240)
+                yield from batches
+
+            session.range(0, 1, 1, 1).mapInArrow(wait, "id long").collect()
+        return whole(session, cfg)
+
+    monkeypatch.setitem(stages.STAGE_FUNCTIONS, "stage_01", slow)
+    only = {f"stage_0{k}": False for k in range(2, 8)}
+    runs = [config(inputs, tmp_path / n, name=n, stages=only) for n in ("slow", "a", "b")]
+    began = time.monotonic()
+    log = {(r["experiment"], r["stage"]): r for r in stages.run_all(spark, runs, limit=25.0, at_once=3).collect()}
+    assert time.monotonic() - began < 180
+    assert log["slow", "stage_01"]["status"] == "timeout" and ("slow", "stage_02") not in log
+    assert [log[n, "stage_01"]["error"] for n in "ab"] == [None, None]
+
+
+def test_one_that_hangs_outside_of_spark_is_left(spark, inputs, tmp_path, monkeypatch):
+    monkeypatch.setitem(stages.STAGE_FUNCTIONS, "stage_01", lambda session, cfg: time.sleep(15) or 1)
+    monkeypatch.setattr(stages, "GRACE", 1.0)
+    log = stages.run_all(spark, [config(inputs, tmp_path)], limit=0.5).collect()
+    assert [(r["stage"], r["status"]) for r in log] == [("run", "timeout")]
+
+
+def test_what_is_stale(spark, inputs, tmp_path):
+    cfg = config(inputs, tmp_path, stages={f"stage_0{k}": False for k in (3, 4, 5, 6, 7)})
+
+    def run(c):
+        return [r["status"] for r in stages.run_stages(spark, c, reuse=True).collect()][:2]
+
+    assert run(cfg) == ["success", "success"]
+    assert run(cfg) == ["reused", "reused"]
+    assert run(replace(cfg, blanked=["lvl"])) == ["reused", "success"]
+    assert run(replace(cfg, blanked=["lvl"], stages=cfg.stages | {"stage_01": False})) == ["skipped", "reused"]
+    # a manifest goes with its files: without them the stage runs again
+    shutil.rmtree(f"{cfg.output}/data/02_conditioned")
+    assert run(replace(cfg, blanked=["lvl"])) == ["reused", "success"]
+    shutil.rmtree(f"{cfg.output}/manifests/stage_01")
+    assert run(replace(cfg, blanked=["lvl"], stages=cfg.stages | {"stage_01": False}))[0] == "stale"
+    assert run(replace(cfg, blanked=["lvl"])) == ["success", "success"]
