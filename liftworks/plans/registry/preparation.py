@@ -12,6 +12,7 @@ from liftworks.operators import evaluate as ev
 from liftworks.plans import bindings as b
 from liftworks.plans.registry.core import (
     AUX_SQL,
+    CONTRIB_SQL,
     FEATURES_SQL,
     MASTER_SQL,
     POLICY_SQL,
@@ -21,6 +22,7 @@ from liftworks.plans.registry.core import (
     tidy,
     with_views,
 )
+from liftworks.sources import join_keyed, keyed
 
 # --- catalogs, joined with what the rows say about the columns --------------------------------
 
@@ -194,6 +196,52 @@ def assemble_overlap(spark, sf_dir):
     )
 
 
+@query(
+    "keyed_joins",
+    with_views(MASTER_SQL, AUX_SQL, POLICY_SQL, PREMIUM_SQL, CONTRIB_SQL)
+    + f"""
+SELECT vin_date, l_linenumber, p_brand, m.fold, {r6('ep')} AS ep, {r6('c.cont')} AS cont, weight
+FROM (SELECT * FROM master JOIN aux USING (vin_date)) m
+LEFT JOIN premium p ON p.o_orderkey = vin_date
+LEFT JOIN contrib c ON c.o_orderkey = vin_date""",
+)
+def keyed_joins(spark, sf_dir):
+    """Master, folds, premiums and contributions on one key; shuffled once each, when written."""
+    key = "vin_date"
+    lines = keyed(b.master(spark, sf_dir).select(key, "l_linenumber", "p_brand"), key)
+    folds = keyed(b.aux(spark, sf_dir).select(key, "fold"), key)
+    premium = keyed(b.premium(spark, sf_dir).withColumnRenamed("o_orderkey", key), key)
+    effects = b.contributions(spark, sf_dir).select(F.col("o_orderkey").alias(key), "cont", "weight")
+    return tidy(join_keyed(lines, folds, premium, keyed(effects, key), how="left"))
+
+
+@query(
+    "keyed_hot_key",
+    """
+WITH lines AS (
+  SELECT CASE WHEN l_linenumber <= 2 THEN 1 WHEN l_linenumber = 6 THEN NULL ELSE l_partkey END AS part,
+         l_quantity
+  FROM lineitem)
+SELECT p_brand, coalesce(p_size % 10, -1) AS size, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity,
+       count(part) AS keyed
+FROM lines LEFT JOIN part ON part = p_partkey GROUP BY ALL""",
+)
+def keyed_hot_key(spark, sf_dir):
+    """A key that a third of all lines share is dealt over the tasks; lines without one stay."""
+    n = F.col("l_linenumber")
+    part = F.when(n <= 2, 1).when(n == 6, None).otherwise(F.col("l_partkey")).cast("bigint").alias("part")
+    lines = keyed(b.table(spark, sf_dir, "lineitem").select(part, "l_quantity"), "part", hot_rows=1000)
+    parts = b.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("bigint").alias("part"), "p_brand", (F.col("p_size") % 10).alias("size")
+    )
+    joined = join_keyed(lines, keyed(parts, "part", hot_rows=1000), how="left")
+    return joined.groupBy("p_brand", F.coalesce("size", F.lit(-1)).alias("size")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("l_quantity").cast("bigint").alias("quantity"),
+        F.count("part").alias("keyed"),
+    )
+
+
 @query(
     "fold_counts",
     with_views(AUX_SQL)
