@@ -178,15 +178,59 @@ def test_viterbi_is_the_best_path():
     assert np.isclose(worth(model.best(seen).tolist()), best)
 
 
-def test_chat_recovers_roles(spark):
-    conversations = spark.read.parquet(f"{DATA}/sf0.01/conversations.parquet")
-    known = conversations.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), ",").alias("r")
-    )
-    raw = chat.transcripts(chat.gathered(conversations))
-    model = chat.fit(raw.filter("conv_id % 2 = 0"))
-    got = chat.parse(raw.filter("conv_id % 2 = 1"), model).join(known, "conv_id")
-    assert got.filter("roles = r").count() > 0.8 * got.count()
+def whole(frame, **layout):
+    """Rendered text, number of turns and parts of each conversation."""
+    out = {}
+    rows = chat.format_conversations(frame, **layout).collect()
+    for r in sorted(rows, key=lambda r: r["part"]):
+        text, n, k = out.get(r["conv_id"], ("", 0, 0))
+        assert r["part"] == k
+        out[r["conv_id"]] = (text + r["rendered"], n + r["n_turns"], k + 1)
+    return out
+
+
+def test_chat_of_held_out_conversations(spark):
+    """Rendered text of conversations the model has not seen, against their source turns."""
+    conversations = spark.read.parquet(f"{DATA}/sf0.1/conversations.parquet")
+    truth: dict = {}
+    for r in conversations.orderBy("conv_id", "turn").collect():
+        truth.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    got = {r["conv_id"]: r for r in chat.format_conversations(conversations).filter("held_out").collect()}
+    assert len(got) > 0.1 * len(truth)
+    right = [r["rendered"] == chat.render(truth[i]) for i, r in got.items()]
+    print("rendered right:", sum(right) / len(right))
+    assert sum(right) > 0.9 * len(right)
+
+
+def long_talk(spark):
+    """Conversation 1 has 50 turns, 2 has 7, and a third of the rows share a null id and no turn number."""
+    rng = np.random.default_rng(3)
+    words = ["yes", "Question: why?", "no\n\nand no", "  code()", "", "ok then", "a b " * 30]
+    rows = [(c, t, ("user", "assistant")[t % 2], words[rng.integers(len(words))] + str(t)) for c, n in ((1, 50), (2, 7)) for t in range(n)]
+    rows += [(None, None, "user", f"line {k % 9}") for k in range(30)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+
+
+def test_chat_parts_make_whole_conversations(spark):
+    frame = long_talk(spark)
+    want = whole(frame)
+    assert {k: v[2] for k, v in want.items()} == {1: 1, 2: 1, None: 1}
+    for layout in ({"part_turns": 4}, {"part_turns": 8, "range_rows": 10}, {"crowded": 5, "range_rows": 6}, {"part_bytes": 20}):
+        got = whole(frame, **layout)
+        assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}, layout
+        assert got[1][2] > 1, layout
+
+
+def test_chained_messages_give_the_best_path():
+    rng = np.random.default_rng(8)
+    size = chat.STATES + chat.STATES**2 + chat.STATES * sum(chat._SIZES)
+    model = chat.Model(rng.integers(0, 9, size).astype(float))
+    seen = np.stack([rng.integers(0, s, 40) for s in chat._SIZES], axis=1)
+    cuts = [0, 7, 7, 8, 30, 40, 40]
+    parts = [seen[a:b] for a, b in zip(cuts, cuts[1:])]
+    path = [s for p, around in zip(parts, chat.chained([model.message(p) for p in parts])) for s in model.best(p, *around)]
+    assert path == model.best(seen).tolist()
+    assert chat.chained([np.zeros((0, chat.STATES))] * 2) == [(None, None)] * 2
 
 
 def test_chat_on_edge_rows(spark):
@@ -199,12 +243,14 @@ def test_chat_on_edge_rows(spark):
     assert chat.turns_of("", chat.Model(np.zeros(chat.STATES + chat.STATES**2 + chat.STATES * sum(chat._SIZES)))) == []
 
 
-def test_chat_keeps_blank_lines_leading_spaces_and_empty_turns():
+def test_chat_keeps_what_a_turn_begins_and_ends_with():
     turns = [(0, "How?\n\n\n- one\n\n- two"), (1, "    code()\n\n    more()\n"), (0, ""), (1, "**So**\n\nbye"), (2, "")]
+    turns += [(k % 3, f"{name.title()}: what is x?\n{name}: y") for k, name in enumerate(chat.NAMES)]
+    turns += [(0, "\n\nUser: hi"), (1, "### user: x")]
     model = chat.Model(np.zeros(chat.STATES + chat.STATES**2 + chat.STATES * sum(chat._SIZES)))
     for seed in range(80):
         text, known = chat.compose(turns, seed)
-        model.best = lambda seen, known=known: chat.states_of(known)
+        model.best = lambda *_, known=known: chat.states_of(known)
         assert chat.turns_of(text, model) == [(chat.ROLES[r], t) for r, t in turns], seed
 
 
