@@ -5,8 +5,10 @@ version. Changes come in batches of signed rows: an insert counts +1, a delete -
 is a delete of the old and an insert of the new row. A batch is summed before anything moves, and
 written as one small table under its own name. It counts once its write has succeeded (Spark's
 ``_SUCCESS`` file); a batch that failed halfway is written again, one that has succeeded is not, so
-that sending a batch twice changes nothing. ``compact`` folds batches into one under a new name
-that lists what it holds; the listing makes readers ignore the folded ones.
+that sending a batch twice changes nothing. ``compact`` folds batches into one table, beside which a
+small table lists the batches it holds; readers ignore the folded ones. The list is written first and
+the fold counts once it is there itself, so a fold lost halfway changes nothing. Any number of batches
+can be folded.
 
 Null sources, languages and versions are groups of their own, null counts add nothing. Groups whose
 documents and sums are all zero are left out of totals. Extra columns are ignored.
@@ -14,7 +16,7 @@ documents and sums are all zero are left out of totals. Extra columns are ignore
 
 from __future__ import annotations
 
-import json
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +25,7 @@ from liftworks.sources import fresh_dir, stage
 
 KEYS = ["source", "lang", "version"]
 SUMS = ["n_docs", "n_tokens", "n_chars"]
+_LIST = "fold string, batch string"
 _SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long, n_chars long"
 
 
@@ -57,7 +60,13 @@ class Rollup:
             return {}
         names = [s.getPath().getName() for s in fs.listStatus(path(self.path)) if s.isDirectory()]
         done = [n for n in names if fs.exists(path(f"{self.path}/{n}/_SUCCESS"))]
-        return {n: json.loads(bytes.fromhex(n[4:])) if n.startswith("fold") else [n[5:]] for n in done}
+        out = {n: [n[5:]] for n in done if n.startswith("batch")}
+        folds = [n for n in done if n.startswith("fold")]
+        if folds:
+            lists = self.spark.read.schema(_LIST).parquet(*[f"{self.path}/list{n[4:]}" for n in folds])
+            for r in lists.groupBy("fold").agg(F.collect_list("batch").alias("held")).collect():  # names only
+                out[r["fold"]] = sorted(r["held"])
+        return out
 
     def _current(self) -> list[str]:
         """Tables that count: the widest fold of every batch, or the batch itself."""
@@ -82,18 +91,15 @@ class Rollup:
         return True
 
     def compact(self) -> None:
-        """Fold the committed batches into one table; a second run over the same ones is the same.
-
-        The name lists the batches, so compact before they are many: names hold some 50 of them.
-        """
-        names = self._current()
+        """Fold the committed batches into one table; a second run over the same ones is the same."""
+        committed, names = self._committed(), self._current()
         if len(names) < 2:
             return
-        held = sorted({b for n in names for b in self._committed()[n]})
-        name = "fold" + json.dumps(held).encode().hex()
-        if len(name) > 240:
-            raise ValueError("too many batches for one fold")
-        self._read(names).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        held = sorted({b for n in names for b in committed[n]})
+        mark = hashlib.sha256("\n".join(held).encode()).hexdigest()
+        listed = self.spark.createDataFrame([(f"fold{mark}", b) for b in held], _LIST)
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/list{mark}")
+        self._read(names).write.mode("overwrite").parquet(f"{self.path}/fold{mark}")
 
     def _read(self, names: list[str]) -> DataFrame:
         if not names:

@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import shutil
 import random
 import subprocess
 import sys
@@ -155,6 +156,26 @@ def test_rollup_batches_count_once(spark, tmp_path):
         rollup.commit("bad/name", rollups.signed(rows, 1))
 
 
+def test_rollup_folds_any_number_of_batches(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "en", "v", 3, 9)], "source string, lang string, version string, n_tokens long, n_chars long"
+    ).coalesce(1)
+    rollup = rollups.Rollup(spark, str(tmp_path / "r"))
+    one = rollups.signed(rows, 1)
+    assert rollup.commit("first", one)
+    for k in range(70):  # committed tables by the format's own rule: a batch's table and its _SUCCESS
+        shutil.copytree(tmp_path / "r" / "batchfirst", tmp_path / "r" / f"batchnumber-{k}-of-a-long-name")
+    rollup.compact()
+    assert len(rollup._current()) == 1 and len(rollup.batches()) == 71
+    assert not rollup.commit("number-5-of-a-long-name", one) and rollup.commit("another", one)
+    assert rollup.totals().first()["n_docs"] == 72
+    rollup.compact()
+    assert len(rollup._current()) == 1 and rollup.totals().first()["n_docs"] == 72
+    fold = rollup._current()[0]
+    os.remove(tmp_path / "r" / fold / "_SUCCESS")  # a fold lost halfway: its batches count as before
+    assert rollup.totals().first()["n_docs"] == 72 and len(rollup.batches()) == 72
+
+
 def test_replay_on_edge_rows(docs, no_docs):
     got = {r["version"]: r for r in rollups.replay(docs).collect()}
     assert got["v1"]["n_docs"] == got["v2"]["n_docs"] == docs.select(F.coalesce("text", F.lit(""))).distinct().count() + 1
