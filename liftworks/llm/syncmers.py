@@ -108,11 +108,17 @@ def as_string(sketch: str) -> Column:
 def followed(docs: DataFrame, make=sketch, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` (doc_id, text) with their sketch (``make``) and the next document's text and sketch.
 
-    Documents are cut into ranges of doc_id; only the first document of each range is looked up by
-    another range.
+    Documents are cut into ranges of doc_id, rows that share one or have none by a hash of the text; only
+    the first document of each range is looked up by another range.
     """
-    ranges = split_ranges(docs.select("doc_id").filter("doc_id is not null"), ["doc_id"], rows_per_range)
-    plain = ranges.assign(docs.select("doc_id", "text"))
+    order = {
+        "__has": F.col("doc_id").isNotNull().cast("int"),  # rows without an id come first
+        "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+        "__hash": F.xxhash64("text"),
+    }
+    keyed = docs.select("doc_id", "text").withColumns(order)
+    ranges = split_ranges(keyed.select(*order), list(order), rows_per_range)
+    plain = ranges.assign(keyed).drop(*order)
     placed = plain.withColumn("sketch", make("text"))
     key = F.struct("doc_id", F.xxhash64("text"))
     window = Window.partitionBy("__range").orderBy("doc_id", F.xxhash64("text"))

@@ -321,6 +321,24 @@ def test_following_documents_across_ranges(spark):
         assert got == {i: rows[(k + 1) % 57][1] for k, (i, _) in enumerate(rows)}
 
 
+def test_rows_without_an_id_are_cut_into_ranges(spark):
+    rows = [(None, f"text {k}") for k in range(60)] + [(7, f"same {k}") for k in range(60)] + [(9, "last")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = syncmers.followed(frame, lambda _: F.lit(1), 20).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == sorted((i or 0, t) for i, t in rows)
+    # following from any row to the next visits every row once
+    after = {r["text"]: r["next"]["text"] for r in out}
+    seen, at = [], "last"
+    for _ in rows:
+        at = after[at]
+        seen.append(at)
+    assert sorted(seen) == sorted(t for _, t in rows)
+    ids = [next(i for i, t in rows if t == x) for x in seen]
+    assert ids == [None] * 60 + [7] * 60 + [9]
+    ranges = syncmers.split_ranges(frame.select(F.xxhash64("text").alias("h")), ["h"], 20)
+    assert ranges.count > 3
+
+
 # --- rules' statistics ------------------------------------------------------------------------
 
 
