@@ -7,10 +7,14 @@ A token's probability is ``P(class | two tokens before) * P(token | class)``.
 * ``P(class | context)`` is a softmax over sparse features: bias, previous class (n-gram), the
   class before it (skip), and both together hashed into buckets.
 * ``P(token | class)`` is the add-one estimate within the class, unseen words counting as one more.
+* Every word without a class of its own has a feature for each class that follows it in training, by
+  the whole word: these have no fixed number, they grow with the vocabulary.
 
-Training counts contexts over all training documents, so the model sees every token; the weights
-then follow the gradient "seen minus expected" of every feature, computed by Spark tasks over the
-context counts each round. Scores are made block by block in numpy.
+Training counts contexts over all training documents, so the model sees every token; the weights of the
+class features follow the gradient "seen minus expected", computed by Spark tasks over the context
+counts each round. A position has one previous word, so given those weights the words don't share
+features: each one's are fitted by a step of iterative scaling, "seen over expected" with a prior, in the
+shelf task that holds the word. Scores are made block by block in numpy.
 
 Null texts are empty: they hold the end token only. Without any training document all counts are
 zero and weights stay zero. A null doc_id counts as the empty string in the split. Equal rows are
@@ -29,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from liftworks.llm.blocks import answer, shelves_for, write_blocks
+from liftworks.llm.blocks import Numbers, shelves_for, write_blocks
 from liftworks.llm.text import pack_ints, unpack_bytes, unpack_ints, words_of
 from liftworks.sources import stage
 
@@ -39,6 +43,8 @@ JOINT = 1024  # buckets of class pairs
 ROUNDS = 24
 STEP = 0.4
 RIDGE = 0.5
+PRIOR = 10.0  # positions after a word that count as much as what the class features expect there
+SLICE = 4096  # words whose features are fitted at once
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -103,16 +109,6 @@ class Model:
         return np.fromiter((get(w) or tail_class(w) for w in words), np.int64, len(words))
 
 
-def _reply(items):
-    """Training count of every word, then what the words add to totals."""
-    counts: Counter = Counter()
-    for words, n in items():
-        for w, k in zip(words, n.tolist()):
-            counts[w] += k
-    for words, _ in items():
-        yield pack_ints(np.fromiter((counts[w] for w in words), np.uint32, len(words)))
-
-
 def _totals(batches):
     """Per shelf task: frequent words, and tokens and distinct words by tail class."""
     counts: Counter = Counter()
@@ -187,6 +183,162 @@ def context_counts(blocks: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def _previous_words(words: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Number of the word before each token, -1 before the first of a document."""
+    tokens = np.full(len(inside), -1, dtype=np.int64)
+    tokens[inside] = words
+    return np.concatenate([[-1], tokens[:-1]])[: len(tokens)]
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all items of the spans, one span after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
+def _block_cells(classes: np.ndarray, chunks: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """What follows the words of a block: sorted cells (word, skipped class, class that follows) as one number,
+    and how often each is in training documents. Words with a class of their own have none: the class
+    features tell them."""
+    keys, counts = [], []
+    for flags, lengths, words in zip(chunks["flags"], chunks["lengths"], chunks["words"]):
+        words, lengths = unpack_ints(words), unpack_ints(lengths)
+        out, contexts, inside, _ = _sequence(classes, words, lengths)
+        key = _cells(_previous_words(words, inside), contexts, out)
+        trained = np.repeat(np.frombuffer(flags, np.uint8) > 0, lengths + 1)[key >= 0]
+        key, at = np.unique(key[key >= 0], return_inverse=True)
+        keys.append(key)
+        counts.append(np.bincount(at[trained], minlength=len(key)))
+    return _added(keys, counts)
+
+
+def _cells(before: np.ndarray, contexts: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The cell of each position, -1 where there is none."""
+    key = before * CLASSES**2 + contexts // CLASSES * CLASSES + out
+    return np.where((before >= 0) & (contexts % CLASSES >= SINGLES), key, -1)
+
+
+def _of_words(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the cells of each word start, and how many there are."""
+    starts = np.searchsorted(keys, numbers.astype(np.int64) * CLASSES**2)
+    return starts, np.searchsorted(keys, (numbers.astype(np.int64) + 1) * CLASSES**2) - starts
+
+
+def word_cells(blocks: DataFrame, model: Model) -> DataFrame:
+    """The shelf rows of each block with the cells of their words.
+
+    ``sizes`` has each word's number of cells, ``cells`` the skipped class times CLASSES plus the class
+    that follows, ``n`` how often in training.
+    """
+    schema = "block long, shelf int, numbers binary, words binary, counts binary, sizes binary, cells binary, n binary"
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        names, chunks = _block_parts(rows)
+        keys, counts = _block_cells(model.classes(names), chunks)
+        shelves = rows[rows["shelf"].notna()]
+        parts = []
+        for block, shelf, numbers, words, seen in zip(*(shelves[c] for c in ("block", "shelf", "lengths", "words", "counts"))):
+            starts, sizes = _of_words(keys, unpack_ints(numbers))
+            at = _spans(starts, sizes)
+            blobs = (pack_ints(x) for x in (sizes, keys[at] % CLASSES**2, counts[at]))
+            parts.append((block, shelf, numbers, words, seen, *blobs))
+        return pd.DataFrame(parts, columns=[f.split()[0] for f in schema.split(", ")])
+
+    sides = blocks.select("block", "shelf", "flags", "lengths", "words", "counts")
+    return sides.groupBy("block").applyInPandas(run, schema)
+
+
+def word_features(
+    place: np.ndarray, cell: np.ndarray, n: np.ndarray, classes: np.ndarray, chances: np.ndarray
+) -> np.ndarray:
+    """For each cell the natural log to add to that of P(class | context) by the class features.
+
+    ``place`` (ascending), ``cell`` and ``n`` are the words' distinct cells, ``classes`` the class of each
+    word, ``chances`` is P(class | context) by skipped and previous class. The odds of a class that
+    was seen after a word in training are times 1 + gain there. With one skipped class only, the result is
+    the share of what was seen among ``PRIOR`` positions more that are as expected.
+    """
+    out = np.zeros(len(place))
+    of = classes[place]
+    order = np.argsort(of, kind="stable")  # words stay in order within a class
+    borders = np.searchsorted(of[order], np.arange(CLASSES + 1))
+    for k in range(SINGLES, CLASSES):
+        mine = order[borders[k] : borders[k + 1]]
+        words = np.unique(place[mine])
+        for at in range(0, len(words), SLICE):
+            part = words[at : at + SLICE]
+            used = mine[slice(*np.searchsorted(place[mine], (part[0], part[-1] + 1)))]
+            word, code, times = np.searchsorted(part, place[used]), cell[used], n[used]
+            size = len(part) * CLASSES
+            before = np.bincount(word * CLASSES + code // CLASSES, times, size).reshape(-1, CLASSES)
+            seen = np.bincount(word * CLASSES + code % CLASSES, times, size).reshape(-1, CLASSES)
+            expected = before @ chances[:, k]
+            gain = np.zeros_like(seen)
+            w, c = np.nonzero(seen)
+            gain[w, c] = seen[w, c] * before.sum(axis=1)[w] / (PRIOR * expected[w, c])
+            whole = gain @ chances[:, k].T  # by skipped class
+            out[used] = np.log1p(gain[word, code % CLASSES]) - np.log1p(whole[word, code // CLASSES])
+    return out
+
+
+def word_weights(blocks: DataFrame, shelves: int, model: Model) -> DataFrame:
+    """(block, numbers, answers, added): for the words of each block and shelf their training counts, and what
+    ``word_features`` gives for their cells in the block, one number a cell."""
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]  # compressed words and cells
+        numbers, keys, counts = Numbers(), [], []
+        total = np.zeros(1024, np.int64)
+        rows = []  # of each row the words' numbers
+        for b in held:
+            for words, seen, sizes, cells, n in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5, 6))):
+                words = unpack_bytes(words)
+                own = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                rows.append(own)
+                if len(numbers) > len(total):
+                    total = np.concatenate([total, np.zeros(len(numbers), np.int64)])
+                total[own] += unpack_ints(seen)  # a block has a word once
+                keys.append(np.repeat(own, unpack_ints(sizes)) * CLASSES**2 + unpack_ints(cells))
+                counts.append(unpack_ints(n).astype(np.int64))
+        if (total >= 1 << 32).any():
+            raise OverflowError("a word occurs too often for packed counts")
+        keys, counts = _added(keys, counts)
+        chances = np.exp(model.weights.log_probabilities(np.arange(CLASSES**2))).reshape(CLASSES, CLASSES, CLASSES)
+        added = word_features(
+            keys // CLASSES**2, keys % CLASSES**2, counts, model.classes(list(numbers)), chances
+        ).astype("<f4")
+        replies = iter(rows)
+        for b in held:
+            answers, blobs = [], []
+            for sizes, cells in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
+                own = next(replies)
+                wanted = np.repeat(own, unpack_ints(sizes)) * CLASSES**2 + unpack_ints(cells)
+                answers.append(pack_ints(total[own]))
+                blobs.append(added[np.searchsorted(keys, wanted)].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(answers, pa.binary()), pa.array(blobs, pa.binary())],
+                names=["block", "numbers", "answers", "added"],
+            )
+
+    return (
+        word_cells(blocks, model)
+        .repartition(shelves, "shelf")
+        .drop("shelf")
+        .mapInArrow(run, "block long, numbers binary, answers binary, added binary")
+    )
+
+
 def train(cells: DataFrame, rounds: int = ROUNDS) -> Weights:
     """Weights after ``rounds`` of gradient updates over the context counts.
 
@@ -282,7 +434,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .first()[0]
     )
     model = fit(blocks, shelves, int(train_docs or 0), rounds)
-    return _scores(blocks, answer(blocks, shelves, _reply), model)
+    return _scores(blocks, word_weights(blocks, shelves, model), model)
 
 
 def _scores(blocks: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
@@ -297,6 +449,10 @@ def _scores(blocks: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         counts = np.zeros(len(names), dtype=np.int64)
         for numbers, blob in zip(replies["numbers"], replies["answers"]):
             counts[unpack_ints(numbers)] = unpack_ints(blob)
+        keys, _ = _block_cells(classes, chunks)
+        added = np.zeros(len(keys), "<f4")
+        for numbers, blob in zip(replies["numbers"], replies["added"]):
+            added[_spans(*_of_words(keys, unpack_ints(numbers)))] = np.frombuffer(blob, "<f4")
         whole = model.tokens + model.vocabulary + 1
         base = np.log10(counts + 1.0) - np.log10(whole)
         within = np.log10(counts + 1.0) - np.log10(
@@ -313,6 +469,8 @@ def _scores(blocks: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
             distinct, at = np.unique(contexts, return_inverse=True)
             table = model.weights.log_probabilities(distinct) / np.log(10)
             scores = table[at, sequence]
+            cells = _cells(_previous_words(words, inside), contexts, sequence)
+            scores[cells >= 0] += added[np.searchsorted(keys, cells[cells >= 0])] / np.log(10)
             scores[inside] += within[words]
             bases = np.full(len(sequence), end_base)
             bases[inside] = base[words]
@@ -339,7 +497,7 @@ def _scores(blocks: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
 
 
 def save_weights(model: Model) -> str:
-    """Text form of a fitted model."""
+    """Text form of a fitted model without the features of single words, which are no driver's to hold."""
     return json.dumps(
         {
             "singles": {w.hex(): i for w, i in model.singles.items()},
