@@ -1,6 +1,8 @@
 """Near-duplicate stage: word shingles of five, exact Jaccard similarity of 0.8 or more.
 
-Texts with the same words are one entry. An entry's signature is ``BANDS * ROWS`` least hashes of its
+Texts with the same words are one entry. Operator 5 goes first: entries of equal SimHash fingerprint (of
+the same shingles), and fingerprints that its Gray-order index links, are pairs to be verified. Three of
+64 bits hold only part of the pairs at 0.8, so all others are found by least hashes. An entry's signature is ``BANDS * ROWS`` least hashes of its
 shingles; two entries are compared if all hashes of a band are equal in both, which two texts of
 similarity 0.8 miss in one of 4,700 cases. Compared pairs whose signatures agree in fewer than
 ``AGREE`` places are left out (0.8 comes out so low less than once in 10,000); all others are
@@ -26,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from liftworks.llm import simhash
 from liftworks.llm.graph import components
 from liftworks.llm.rows import free_name, numbered
 from liftworks.llm.simhash import Forest
@@ -91,17 +94,19 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def prints(docs: DataFrame) -> DataFrame:
-    """(row, entry, sig, doc_id, text): of every document, ``text`` the hash of its text."""
+    """(row, entry, sig, doc_id, text, fp): of every document, ``text`` the hash of its text and ``fp`` its
+    SimHash fingerprint."""
 
     def run(batches):
         hashes = Hashes()
         for b in batches:
-            entries, sigs, texts = [], [], []
+            entries, sigs, texts, fps = [], [], [], []
             for text in binaries(b.column(1)):
                 words = words_of(text)
                 entries.append(xxhash.xxh64_intdigest(b" ".join(words), 3))
                 sigs.append(signature(shingles(words, hashes)))
                 texts.append(xxhash.xxh64_intdigest(text, 4))
+                fps.append(simhash.fingerprint(words, SHINGLE))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
@@ -109,12 +114,23 @@ def prints(docs: DataFrame) -> DataFrame:
                     pa.array(sigs, pa.binary()),
                     b.column(2),
                     pa.array(np.array(texts, dtype=np.uint64).view(np.int64)),
+                    pa.array(np.array(fps, dtype=np.uint64).view(np.int64)),
                 ],
-                names=["row", "entry", "sig", "doc_id", "text"],
+                names=["row", "entry", "sig", "doc_id", "text", "fp"],
             )
 
     rows = docs.select(F.col("__row").alias("row"), "text", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, "row long, entry long, sig binary, doc_id long, text long")
+    return rows.mapInArrow(run, "row long, entry long, sig binary, doc_id long, text long, fp long")
+
+
+def fingerprint_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``entries`` (entry, fp) by operator 5: each entry with the least one of its fingerprint,
+    and those least ones along the links of the fingerprints' index."""
+    least = stage(entries.groupBy("fp").agg(F.min("entry").alias("a")), "fingerprints")
+    equal = entries.join(least, "fp").filter("entry != a").select("a", F.col("entry").alias("b"))
+    links = simhash.links(least.select("fp")).toDF("left", "right")
+    linked = links.join(least.toDF("left", "a"), "left").join(least.toDF("right", "b"), "right")
+    return equal.union(linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def _alike(batches):
@@ -345,7 +361,7 @@ def keep_one(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     given, docs = docs, docs.select(F.col(row).alias("__row"), "doc_id", "text")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text", "row")
     entries = stage(prints(docs), "prints").groupBy("entry").agg(
-        F.min(order).alias("least"), F.min("sig").alias("sig")
+        F.min(order).alias("least"), F.min("sig").alias("sig"), F.min("fp").alias("fp")
     )
     entries = stage(entries, "entries")
     node = F.struct(
@@ -361,7 +377,8 @@ def keep_one(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     sizes = stage(sizes.filter("n > 1").drop("n"), "nodes")
     members = stage(held.join(sizes, ["band", "bits"]), "members")
     stars = members.filter("entry != first").select(F.col("first").alias("a"), F.col("entry").alias("b"))
-    stars = stage(stars.distinct(), "stars")
+    printed = fingerprint_pairs(entries.filter("length(sig) > 0").select("entry", "fp"))
+    stars = stage(stars.union(printed).distinct(), "stars")
     sigs = entries.select("entry", "sig")
     stars = (
         stars.join(sigs.toDF("a", "left"), "a").join(sigs.toDF("b", "right"), "b")
