@@ -44,6 +44,7 @@ ROUNDS = 24
 STEP = 0.4
 RIDGE = 0.5
 PRIOR = 10.0  # positions after a word that count as much as what the class features expect there
+SHELF_BYTES = 6 << 20  # bytes of text for which there is a shelf task
 SLICE = 4096  # words whose features are fitted at once
 
 
@@ -313,7 +314,7 @@ def word_weights(blocks: DataFrame, shelves: int, model: Model) -> DataFrame:
                 counts.append(unpack_ints(n).astype(np.int64))
         if (total >= 1 << 32).any():
             raise OverflowError("a word occurs too often for packed counts")
-        keys, counts = _added(keys, counts)
+        keys, counts = _added(keys, counts)  # the parts are let go
         chances = np.exp(model.weights.log_probabilities(np.arange(CLASSES**2))).reshape(CLASSES, CLASSES, CLASSES)
         added = word_features(
             keys // CLASSES**2, keys % CLASSES**2, counts, model.classes(list(numbers)), chances
@@ -425,7 +426,7 @@ def fit(blocks: DataFrame, shelves: int, train_docs: int, rounds: int = ROUNDS)
 
 def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Scores of all ``docs``; the model learns from those that ``held_out`` doesn't name."""
-    shelves = shelves_for(docs)
+    shelves = shelves_for(docs, SHELF_BYTES)
     blocks = write_blocks(docs, words_of, lambda i: not held_out(i), shelves)
     flags = F.col("flags")
     train_docs = (
